@@ -490,4 +490,146 @@ FROM (SELECT ano_pesquisa,
     ),
 }
 
-ORACLE = {**GOLD_SQL, **KPI_SQL, **EXTRACT_SQL, **CHART_SQL}
+_IDENTITY = "l_suppkey, l_quantity, l_discount, l_returnflag"
+_ANSWERS = "* EXCLUDE (id_respondente)"
+
+
+def _pivot(index: str, column: str, values: tuple[str, ...], cell: str, source: str) -> str:
+    cells = ", ".join(cell.format(test=f"{column} = '{v}'") + f' AS "{v}"' for v in values)
+    return f"SELECT {index}, {cells} FROM {source} GROUP BY {index}"
+
+
+_SUM_CELL = "CAST(COALESCE(SUM(respondentes) FILTER ({test}), 0) AS BIGINT)"
+_MEAN_CELL = "round(AVG(salario_medio_aproximado) FILTER ({test}), 6)"
+
+OPERATOR_SQL = {
+    "technology_long_counts": using(
+        TECH_LONG,
+        select="""SELECT ano_pesquisa, tecnologia, COUNT(*) AS linhas, COUNT(adotou) AS respostas,
+  COUNT(*) - COUNT(adotou) AS nulos FROM tech_long GROUP BY 1, 2""",
+    ),
+    "ordinal_median_by_region": using(
+        select="""SELECT ano_pesquisa, regiao_moradia, COUNT(*) AS respondentes,
+  CAST(quantile_disc(salario_ordem, 0.5) AS INT) AS mediana FROM r GROUP BY 1, 2""",
+    ),
+    "gender_pivot": using(
+        DIVERSITY,
+        _GENDER_COUNTS,
+        select=_pivot("ano_pesquisa", "genero", _GENDERS, _SUM_CELL, "gender_counts"),
+    ),
+    "work_model_pivot": using(
+        REGION,
+        _MODEL_COUNTS,
+        select=_pivot("ano_pesquisa", "modelo_trabalho_padronizado", _MODELS, _SUM_CELL, "model_counts"),
+    ),
+    "region_model_pivot": using(
+        REGION,
+        _REGION_EXTRACT,
+        select=_pivot("regiao_moradia", "modelo_trabalho_padronizado", _MODELS, _MEAN_CELL, "region_pay"),
+    ),
+    "survey_years": using(select="SELECT DISTINCT ano_pesquisa FROM r WHERE ano_pesquisa IS NOT NULL"),
+    "excess_duplicates": f"""SELECT COUNT(*) AS registros,
+  COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT {_IDENTITY} FROM lineitem)) AS duplicados_excedentes
+FROM lineitem""",
+    "excess_duplicates_by_year": using(
+        select=f"""SELECT ano_pesquisa, registros, registros - distintos AS duplicados_excedentes
+FROM (SELECT ano_pesquisa, COUNT(*) AS registros FROM r GROUP BY 1)
+  JOIN (SELECT ano_pesquisa, COUNT(*) AS distintos
+        FROM (SELECT DISTINCT {_ANSWERS} FROM r) GROUP BY 1) USING (ano_pesquisa)""",
+    ),
+    "repeated_lines": f"SELECT {_IDENTITY}, COUNT(*) AS copies FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1",
+    "quality_audit": using(
+        select=f"""SELECT ano_pesquisa AS ano, 'bronze_para_silver' AS etapa, n AS registros_entrada,
+  n AS registros_saida, CAST(0 AS BIGINT) AS registros_descartados,
+  n - distintos AS duplicidades_excedentes_preservadas, CAST(0 AS BIGINT) AS ids_nulos,
+  regioes_invalidas, CAST(0 AS BIGINT) AS senioridades_invalidas,
+  CASE WHEN regioes_invalidas > 0 THEN 'ALERTA' ELSE 'OK' END AS status
+FROM (SELECT ano_pesquisa, COUNT(*) AS n,
+        COUNT(*) FILTER (regiao_moradia = 'MIDDLE EAST') AS regioes_invalidas FROM r GROUP BY 1)
+  JOIN (SELECT ano_pesquisa, COUNT(*) AS distintos
+        FROM (SELECT DISTINCT {_ANSWERS} FROM r) GROUP BY 1) USING (ano_pesquisa)""",
+    ),
+    "coerce_numeric": """SELECT o_orderpriority, COUNT(limpo) AS n_limpo, COUNT(espacos) AS n_espacos,
+  COUNT(virgula) AS n_virgula, COUNT(prioridade) AS n_prioridade, COUNT(expoente) AS n_expoente,
+  COUNT(vazio) AS n_vazio, round(SUM(expoente), 2) AS soma_expoente, MAX(espacos) AS maior
+FROM (
+  SELECT o_orderpriority,
+    TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) AS limpo,
+    TRY_CAST('  ' || CAST(o_totalprice AS VARCHAR) || ' ' AS DOUBLE) AS espacos,
+    TRY_CAST(replace(CAST(o_totalprice AS VARCHAR), '.', ',') AS DOUBLE) AS virgula,
+    TRY_CAST(o_orderpriority AS DOUBLE) AS prioridade,
+    TRY_CAST(CAST(o_orderkey % 10 AS VARCHAR) || 'e2' AS DOUBLE) AS expoente,
+    TRY_CAST('' AS DOUBLE) AS vazio
+  FROM orders)
+GROUP BY o_orderpriority""",
+    "number_labels": f"""SELECT c_custkey, {pt("c_acctbal")} AS decimal_1, {pt("c_acctbal", 2)} AS decimal_2,
+  {pt("c_custkey * 1000", 0)} AS contagem, {pt("c_acctbal / 100")} || '%' AS percentual,
+  {money("c_acctbal")} AS dinheiro
+FROM customer""",
+}
+
+# --- files, catalog and audit log ------------------------------------------------------------
+
+# Columns of the raw files.
+_WIDTH = 24
+_EDITIONS = """
+copies AS (SELECT ano_pesquisa, COUNT(*) AS registros,
+    COUNT(*) - COUNT(DISTINCT id_respondente) AS duplicados FROM raw GROUP BY 1)"""
+
+_TABLES = {
+    "silver_profissionais": "r",
+    "gold_kpis_anuais": "annual",
+    "gold_mercado_profissionais": "market",
+    "gold_remuneracao": "pay",
+    "gold_diversidade": "diversity",
+    "gold_tecnologias": "tech",
+    "gold_inteligencia_artificial": "ai",
+    "gold_regiao_trabalho": "region_cells",
+}
+
+STORAGE_SQL = {
+    "edition_profile_check": using(
+        _COPIES,
+        _EDITIONS,
+        select="\nUNION ALL ".join(
+            f"""SELECT ano_pesquisa, '{metric}' AS metrica, CAST({value} AS BIGINT) AS obtido,
+  CAST({value} AS BIGINT) AS esperado, TRUE AS confere FROM copies"""
+            for metric, value in {
+                "registros": "registros",
+                "colunas": _WIDTH,
+                "duplicados_excedentes": "duplicados",
+            }.items()
+        ),
+    ),
+    "edition_audit_log": using(
+        _COPIES,
+        _EDITIONS,
+        select=f"""SELECT ano_pesquisa, 'bronze' AS camada_origem, registros, CAST({_WIDTH} AS BIGINT) AS colunas,
+  duplicados AS duplicados_excedentes, 'OK' AS status FROM copies""",
+    ),
+    "conformed_editions": using(_COPIES, select="SELECT * FROM raw"),
+    "kpi_conform_audit": using(
+        _COPIES,
+        _EDITIONS,
+        select="""SELECT ano_pesquisa AS ano, 'bronze_para_silver' AS etapa, registros AS registros_entrada,
+  registros AS registros_saida, CAST(0 AS BIGINT) AS registros_descartados,
+  duplicados AS duplicidades_excedentes_preservadas, CAST(0 AS BIGINT) AS ids_nulos,
+  CAST(0 AS BIGINT) AS regioes_invalidas, CAST(0 AS BIGINT) AS senioridades_invalidas, 'OK' AS status
+FROM copies""",
+    ),
+    "catalog_tables": using(
+        ANNUAL,
+        MARKET,
+        PAY,
+        DIVERSITY,
+        TECH,
+        AI,
+        REGION,
+        select="\nUNION ALL ".join(
+            f"SELECT '{name}' AS tabela, COUNT(*) AS linhas FROM {cte}" for name, cte in _TABLES.items()
+        ),
+    ),
+    "extract_file_gender_share": CHART_SQL["gender_share_stack"],
+}
+
+ORACLE = {**GOLD_SQL, **KPI_SQL, **EXTRACT_SQL, **CHART_SQL, **OPERATOR_SQL, **STORAGE_SQL}

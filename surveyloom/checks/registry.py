@@ -3,16 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.fixtures.respondents import FIXTURE_SETTINGS, respondents
-from surveyloom.plans import gold
-from surveyloom.plans.charts import CHARTS
+from surveyloom.fixtures.editions import REGIONS, WIDTH, raw_rows, write_editions
+from surveyloom.fixtures.respondents import FIXTURE_SETTINGS, load, respondents
+from surveyloom.functions import money_label, percent_label, pt_count, pt_number, to_number
+from surveyloom.operators import audit
+from surveyloom.operators.duplicates import duplicate_profile, repeated_rows
+from surveyloom.operators.matrix import pivot_mean, pivot_sum
+from surveyloom.operators.median import aggregate_with_median
+from surveyloom.operators.segments import unpivot_flags
+from surveyloom.operators.selection import distinct_years
+from surveyloom.plans import gold, lifecycle
+from surveyloom.plans.charts import CHARTS, gender_share_stack
 from surveyloom.plans.extracts import build_extracts
 from surveyloom.plans.frames import Frames
 from surveyloom.plans.kpi_queries import KPI_QUERIES
+from surveyloom.session import fresh_folder
+from surveyloom.sinks.audit_log import read_runs
+from surveyloom.sinks.catalog import inventory
+from surveyloom.sources.extract_files import EXTRACT_FILES, read_extract_files
+from surveyloom.vocabulary import AUDIT_TABLE, GENDERS, SENIORITIES, TECHNOLOGIES, WORK_MODELS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,4 +115,195 @@ CHART_QUERIES = {
     "region_model_matrix": _rounded(_chart("region_model_matrix"), "salario_medio_aproximado"),
 }
 
-QUERIES: dict[str, Query] = {**GOLD_QUERIES, **NAMED_QUERIES, **EXTRACT_QUERIES, **CHART_QUERIES}
+# --- single operators ------------------------------------------------------------------------
+
+IDENTITY = ["l_suppkey", "l_quantity", "l_discount", "l_returnflag"]
+
+
+def technology_long_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, answers and NULL answers of the unpivoted flags: no NULL row is lost."""
+    long = unpivot_flags(respondents(spark, sf_dir), TECHNOLOGIES, ["ano_pesquisa"], "tecnologia", "adotou")
+    return long.groupBy("ano_pesquisa", "tecnologia").agg(
+        F.count("*").alias("linhas"),
+        F.count("adotou").alias("respostas"),
+        F.count_if(F.col("adotou").isNull()).alias("nulos"),
+    )
+
+
+def ordinal_median_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["ano_pesquisa", "regiao_moradia"]
+    histogram = (
+        respondents(spark, sf_dir).groupBy(*keys, "salario_ordem").agg(F.count("*").alias("linhas"))
+    )
+    return aggregate_with_median(
+        histogram, keys, "salario_ordem", "linhas", [F.sum("linhas").alias("respondentes")], "mediana"
+    )
+
+
+def gender_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = _extract("diversidade")(spark, sf_dir)
+    return pivot_sum(cells, "ano_pesquisa", "genero", GENDERS, "respondentes")
+
+
+def work_model_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = _extract("trabalho")(spark, sf_dir)
+    return pivot_sum(cells, "ano_pesquisa", "modelo_trabalho_padronizado", WORK_MODELS, "respondentes")
+
+
+def region_model_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = _extract("regiao_trabalho")(spark, sf_dir)
+    pay, model = "salario_medio_aproximado", "modelo_trabalho_padronizado"
+    table = pivot_mean(cells, "regiao_moradia", model, WORK_MODELS, pay)
+    return table.select("regiao_moradia", *[F.round(F.col(m), 6).alias(m) for m in WORK_MODELS])
+
+
+def survey_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_years(respondents(spark, sf_dir))
+
+
+def excess_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A narrow identity, grouped as columns."""
+    return duplicate_profile(load(spark, sf_dir, "lineitem"), IDENTITY)
+
+
+def excess_duplicates_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide identity (all answers), grouped as a digest."""
+    answers = respondents(spark, sf_dir).drop("id_respondente")
+    return duplicate_profile(answers, keys=["ano_pesquisa"])
+
+
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_rows(load(spark, sf_dir, "lineitem"), IDENTITY)
+
+
+def quality_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conforming audit with one region declared invalid."""
+    silver = respondents(spark, sf_dir)
+    profile = duplicate_profile(silver.drop("id_respondente"), keys=["ano_pesquisa"])
+    return audit.conform_audit(profile, silver, REGIONS[:4], SENIORITIES)
+
+
+def coerce_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readable and unreadable number text, per order priority."""
+    price = F.col("o_totalprice").cast("string")
+    texts = {
+        "limpo": price,
+        "espacos": F.concat(F.lit("  "), price, F.lit(" ")),
+        "virgula": F.translate(price, ".", ","),
+        "prioridade": F.col("o_orderpriority"),
+        "expoente": F.concat((F.col("o_orderkey") % 10).cast("string"), F.lit("e2")),
+        "vazio": F.lit(""),
+    }
+    numbers = load(spark, sf_dir, "orders").select(
+        "o_orderpriority", *[to_number(text).alias(name) for name, text in texts.items()]
+    )
+    return numbers.groupBy("o_orderpriority").agg(
+        *[F.count(name).alias(f"n_{name}") for name in texts],
+        F.round(F.sum("expoente"), 2).alias("soma_expoente"),
+        F.max("espacos").alias("maior"),
+    )
+
+
+def number_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label text for the amounts of every customer."""
+    amount = F.col("c_acctbal")
+    return load(spark, sf_dir, "customer").select(
+        "c_custkey",
+        pt_number(amount).alias("decimal_1"),
+        pt_number(amount, 2).alias("decimal_2"),
+        pt_count(F.col("c_custkey") * 1000).alias("contagem"),
+        percent_label(amount / 100).alias("percentual"),
+        money_label(amount).alias("dinheiro"),
+    )
+
+
+# --- files, catalog and audit log ------------------------------------------------------------
+
+
+def _expected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the raw files must hold, from the rows they were written from."""
+    counts = duplicate_profile(raw_rows(spark, sf_dir), keys=["edicao"])
+    return counts.withColumn("colunas", F.lit(WIDTH).cast("long")).withColumnRenamed("edicao", "ano_pesquisa")
+
+
+def edition_profile_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files, written and strictly read back, against the rows they were written from."""
+    profile = lifecycle.profile_editions(spark, write_editions(spark, sf_dir))
+    return audit.compare_profiles(profile, _expected(spark, sf_dir))
+
+
+def edition_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored audit of one validation run."""
+    path = fresh_folder(spark, "audit-log")
+    editions = write_editions(spark, sf_dir)
+    lifecycle.validate_editions(spark, editions, path, _expected(spark, sf_dir))
+    return read_runs(spark, path).select(
+        "ano_pesquisa", "camada_origem", "registros", "colunas", "duplicados_excedentes", "status"
+    )
+
+
+def conformed_editions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files of seven editions, stored, conformed by their own rules and unioned by name."""
+    editions = lifecycle.store_raw(spark, write_editions(spark, sf_dir), fresh_folder(spark, "bronze"))
+    return lifecycle.conform_editions(spark, editions, datetime.now(timezone.utc)).drop("processado_em")
+
+
+def kpi_conform_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    editions = lifecycle.store_raw(spark, write_editions(spark, sf_dir), fresh_folder(spark, "bronze"))
+    silver = lifecycle.conform_editions(spark, editions, datetime.now(timezone.utc))
+    rows = audit.conform_audit(lifecycle.profile_editions(spark, editions), silver, REGIONS, SENIORITIES)
+    return KPI_QUERIES["conform_audit"]({AUDIT_TABLE: rows})
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conformed and aggregate tables, stored in the catalog and listed with their stored rows."""
+    database = "surveyloom_check"
+    tables = lifecycle.store_gold(
+        spark, respondents(spark, sf_dir), database, fresh_folder(spark, "lake"), FIXTURE_SETTINGS
+    )
+    counts = [tables[name].select(F.lit(name).alias("tabela")) for name in tables]
+    rows = lifecycle._union(counts).groupBy("tabela").agg(F.count("*").alias("linhas"))
+    return inventory(spark, database).select(F.col("tableName").alias("tabela")).join(rows, "tabela")
+
+
+def extract_file_gender_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chart dataset from an extract that was kept as a CSV file."""
+    folder = fresh_folder(spark, "extracts")
+    file, _ = EXTRACT_FILES["diversidade"]
+    extract = build_extracts(_tables(spark, sf_dir), FIXTURE_SETTINGS, ordered=False)["diversidade"]
+    extract.hint("rebalance").write.option("header", "true").csv(f"{folder}/{file}")
+    return gender_share_stack(read_extract_files(spark, folder))
+
+
+OPERATOR_QUERIES = {
+    "technology_long_counts": technology_long_counts,
+    "ordinal_median_by_region": ordinal_median_by_region,
+    "gender_pivot": gender_pivot,
+    "work_model_pivot": work_model_pivot,
+    "region_model_pivot": region_model_pivot,
+    "survey_years": survey_years,
+    "excess_duplicates": excess_duplicates,
+    "excess_duplicates_by_year": excess_duplicates_by_year,
+    "repeated_lines": repeated_lines,
+    "quality_audit": quality_audit,
+    "coerce_numeric": coerce_numeric,
+    "number_labels": number_labels,
+}
+
+STORAGE_QUERIES = {
+    "edition_profile_check": edition_profile_check,
+    "edition_audit_log": edition_audit_log,
+    "conformed_editions": conformed_editions,
+    "kpi_conform_audit": kpi_conform_audit,
+    "catalog_tables": catalog_tables,
+    "extract_file_gender_share": extract_file_gender_share,
+}
+
+QUERIES: dict[str, Query] = {
+    **GOLD_QUERIES,
+    **NAMED_QUERIES,
+    **EXTRACT_QUERIES,
+    **CHART_QUERIES,
+    **OPERATOR_QUERIES,
+    **STORAGE_QUERIES,
+}

@@ -6,7 +6,7 @@ the order's lines. Orders without lines have NULL flags ("not asked").
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.vocabulary import SILVER_TYPES, Settings
@@ -15,57 +15,66 @@ from surveyloom.vocabulary import SILVER_TYPES, Settings
 FIXTURE_SETTINGS = Settings(focus_year=2001, ai_since=1996)
 CLOUD_GAP = 1997
 
-BAND_WIDTH = 100_000
-BANDS = ("A", "B", "C", "D", "E")
+# Declared, so that planning a query opens no file.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
+# Flag of an order -> condition that one of its lines must meet.
+LINE_FLAGS = {
+    "usa_sql": "l_returnflag = 'R'",
+    "usa_python": "l_discount >= 0.05D",
+    "usa_aws": "l_linestatus = 'F'",
+    "usa_azure": "l_quantity >= 40",
+    "usa_gcp": "l_tax >= 0.06D",
+    "usa_databricks": "l_linenumber >= 5",
+    "usa_power_bi": "l_discount = 0",
+    "usa_tableau": "l_returnflag = 'A'",
+    "usa_ia_generativa": "l_quantity >= 25",
+    "ia_gratuita": "l_tax = 0",
+    "ia_paga_propria": "l_tax >= 0.05D",
+    "ia_paga_empresa": "l_discount >= 0.08D",
+    "ia_copilot": "l_quantity < 5",
+}
+CLOUD_FLAGS = ("usa_aws", "usa_azure", "usa_gcp")
+ACCESS_FLAGS = ("ia_gratuita", "ia_paga_propria", "ia_paga_empresa", "ia_copilot")
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def _any_line(condition: Column) -> Column:
-    return F.max(F.when(condition, 1).otherwise(0))
+    return spark.read.schema(TABLE_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def line_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with lines. Lines of one order combine before the shuffle."""
-    flags = {
-        "usa_sql": F.col("l_returnflag") == "R",
-        "usa_python": F.col("l_discount") >= 0.05,
-        "usa_aws": F.col("l_linestatus") == "F",
-        "usa_azure": F.col("l_quantity") >= 40,
-        "usa_gcp": F.col("l_tax") >= 0.06,
-        "usa_databricks": F.col("l_linenumber") >= 5,
-        "usa_power_bi": F.col("l_discount") == 0,
-        "usa_tableau": F.col("l_returnflag") == "A",
-        "usa_ia_generativa": F.col("l_quantity") >= 25,
-        "ia_gratuita": F.col("l_tax") == 0,
-        "ia_paga_propria": F.col("l_tax") >= 0.05,
-        "ia_paga_empresa": F.col("l_discount") >= 0.08,
-        "ia_copilot": F.col("l_quantity") < 5,
-    }
     lines = load(spark, sf_dir, "lineitem")
-    return lines.groupBy("l_orderkey").agg(*[_any_line(test).alias(name) for name, test in flags.items()])
+    any_line = [F.expr(f"max(if({test}, 1, 0)) AS {flag}") for flag, test in LINE_FLAGS.items()]
+    return lines.groupBy("l_orderkey").agg(*any_line)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers that depend on the customer. Spark broadcasts the two place tables by their size."""
-    places = load(spark, sf_dir, "nation").join(
-        load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    key = F.col("c_custkey")
-    experience = F.when(key % 4 == 0, "0-2").when(key % 4 == 1, "3-5").when(key % 4 == 2, "6+")
-    return (
-        load(spark, sf_dir, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            "c_custkey",
-            F.when(key % 20 != 0, F.col("c_mktsegment")).alias("cargo_padronizado"),
-            (key % 50 == 0).alias("sem_genero"),
-            F.when(F.col("n_nationkey") != 7, F.col("r_name")).alias("regiao_moradia"),
-            experience.alias("tempo_experiencia_historica"),
-            F.when(F.col("c_acctbal") >= 5000, 1).otherwise(0).alias("eh_gestor"),
-        )
+    nation, region = load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    people = load(spark, sf_dir, "customer")
+    return people.join(places, people.c_nationkey == nation.n_nationkey).selectExpr(
+        "c_custkey",
+        "if(c_custkey % 20 <> 0, c_mktsegment, NULL) AS cargo_padronizado",
+        "c_custkey % 50 <> 0 AS tem_genero",
+        "if(n_nationkey <> 7, r_name, NULL) AS regiao_moradia",
+        "CASE c_custkey % 4 WHEN 0 THEN '0-2' WHEN 1 THEN '3-5' WHEN 2 THEN '6+' END"
+        " AS tempo_experiencia_historica",
+        "if(c_acctbal >= 5000, 1, 0) AS eh_gestor",
     )
 
 
@@ -75,64 +84,43 @@ def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     The customer join comes first, on narrow rows. A query that reads no flag drops the join
     with the order lines altogether, because the lines are grouped by the join key.
     """
-    orders = load(spark, sf_dir, "orders")
-    people = customers(spark, sf_dir)
-    joined = orders.join(people, F.col("o_custkey") == F.col("c_custkey")).join(
-        line_flags(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left"
-    )
-    year = F.year("o_orderdate").cast("int")
-    seniority = {"5-LOW": "Júnior", "3-MEDIUM": "Pleno", "2-HIGH": "Sênior", "1-URGENT": "Sênior"}
-    gender = {"F": "Feminino", "O": "Masculino", "P": "Outro"}
-    model = F.array(*[F.lit(m) for m in ("Remoto", "Híbrido flexível", "Híbrido fixo", "Presencial")])
-    price = F.col("o_totalprice")
-    band = (
-        F.when(price < BAND_WIDTH, 1)
-        .when(price < 2 * BAND_WIDTH, 2)
-        .when(price < 3 * BAND_WIDTH, 3)
-        .when(price < 4 * BAND_WIDTH, 4)
-        .otherwise(5)
-    )
-    cloud = ("usa_aws", "usa_azure", "usa_gcp")
-    ai = ("usa_ia_generativa", "ia_gratuita", "ia_paga_propria", "ia_paga_empresa", "ia_copilot")
-    plain = ("usa_sql", "usa_python", "usa_databricks", "usa_power_bi", "usa_tableau")
-    base = joined.select(
-        F.col("o_orderkey").alias("id_respondente"),
-        year.alias("ano_pesquisa"),
+    orders, people = load(spark, sf_dir, "orders"), customers(spark, sf_dir)
+    flags = line_flags(spark, sf_dir)
+    answers = orders.join(people, orders.o_custkey == people.c_custkey).selectExpr(
+        "o_orderkey AS id_respondente",
+        "year(o_orderdate) AS ano_pesquisa",
         "cargo_padronizado",
-        _lookup(seniority, F.col("o_orderpriority")).alias("senioridade"),
-        F.when(~F.col("sem_genero"), _lookup(gender, F.col("o_orderstatus"))).alias("genero"),
+        "CASE o_orderpriority WHEN '5-LOW' THEN 'Júnior' WHEN '3-MEDIUM' THEN 'Pleno'"
+        " WHEN '2-HIGH' THEN 'Sênior' WHEN '1-URGENT' THEN 'Sênior' END AS senioridade",
+        "if(tem_genero, CASE o_orderstatus WHEN 'F' THEN 'Feminino' WHEN 'O' THEN 'Masculino'"
+        " WHEN 'P' THEN 'Outro' END, NULL) AS genero",
         "regiao_moradia",
-        F.get(model, (F.col("o_orderkey") % 5).cast("int")).alias("modelo_trabalho_padronizado"),
+        "CASE o_orderkey % 5 WHEN 0 THEN 'Remoto' WHEN 1 THEN 'Híbrido flexível'"
+        " WHEN 2 THEN 'Híbrido fixo' WHEN 3 THEN 'Presencial' END AS modelo_trabalho_padronizado",
         "tempo_experiencia_historica",
-        band.cast("int").alias("salario_ordem"),
+        "CASE WHEN o_totalprice < 100000 THEN 1 WHEN o_totalprice < 200000 THEN 2"
+        " WHEN o_totalprice < 300000 THEN 3 WHEN o_totalprice < 400000 THEN 4 ELSE 5 END AS salario_ordem",
         "eh_gestor",
-        *plain,
-        *[F.when(year != CLOUD_GAP, F.col(name)).alias(name) for name in cloud],
-        *[F.when(year >= FIXTURE_SETTINGS.ai_since, F.col(name)).alias(name) for name in ai],
     )
-    order = F.col("salario_ordem")
-    midpoint = F.when(order < 5, (order * BAND_WIDTH - BAND_WIDTH // 2).cast("double"))
-    accesses = F.greatest(*[F.col(name) for name in ai[1:]])
-    gaps = [F.col("senioridade"), F.col("regiao_moradia"), F.col("salario_ponto_medio")]
-    return (
-        base.withColumns(
-            {
-                "faixa_salarial_original": F.get(F.array(*[F.lit(b) for b in BANDS]), order - 1),
-                "salario_ponto_medio": midpoint,
-                "flag_ia_contraditoria": F.when(
-                    (F.col("usa_ia_generativa") == 0) & (accesses == 1), 1
-                ).otherwise(0),
-            }
-        )
-        .withColumn(
-            "quantidade_flags_qualidade", sum((gap.isNull().cast("int") for gap in gaps), F.lit(0))
-        )
-        .select(*SILVER_TYPES)
+    questions = {
+        **{flag: flag for flag in LINE_FLAGS},
+        **{flag: f"if(ano_pesquisa <> {CLOUD_GAP}, {flag}, NULL)" for flag in CLOUD_FLAGS},
+        **{
+            flag: f"if(ano_pesquisa >= {FIXTURE_SETTINGS.ai_since}, {flag}, NULL)"
+            for flag in ("usa_ia_generativa", *ACCESS_FLAGS)
+        },
+    }
+    asked = answers.join(flags, answers.id_respondente == flags.l_orderkey, "left").selectExpr(
+        *answers.columns,
+        "CASE salario_ordem WHEN 1 THEN 'A' WHEN 2 THEN 'B' WHEN 3 THEN 'C' WHEN 4 THEN 'D' ELSE 'E' END"
+        " AS faixa_salarial_original",
+        "if(salario_ordem < 5, double(salario_ordem * 100000 - 50000), NULL) AS salario_ponto_medio",
+        *[f"{question} AS {flag}" for flag, question in questions.items()],
     )
-
-
-def _lookup(mapping: dict[str, str], key: Column) -> Column:
-    chain = F
-    for raw, text in mapping.items():
-        chain = chain.when(key == raw, text)
-    return chain
+    derived = {
+        "flag_ia_contraditoria": f"if(usa_ia_generativa = 0 AND greatest({', '.join(ACCESS_FLAGS)}) = 1, 1, 0)",
+        "quantidade_flags_qualidade": (
+            "int(senioridade IS NULL) + int(regiao_moradia IS NULL) + int(salario_ponto_medio IS NULL)"
+        ),
+    }
+    return asked.selectExpr(*[f"{derived[c]} AS {c}" if c in derived else c for c in SILVER_TYPES])
