@@ -503,6 +503,7 @@ _SUM_CELL = "CAST(COALESCE(SUM(respondentes) FILTER ({test}), 0) AS BIGINT)"
 _MEAN_CELL = "round(AVG(salario_medio_aproximado) FILTER ({test}), 6)"
 
 OPERATOR_SQL = {
+    "market_structure_joined": GOLD_SQL["market_structure"],
     "technology_long_counts": using(
         TECH_LONG,
         select="""SELECT ano_pesquisa, tecnologia, COUNT(*) AS linhas, COUNT(adotou) AS respostas,

@@ -120,6 +120,10 @@ CHART_QUERIES = {
 IDENTITY = ["l_suppkey", "l_quantity", "l_discount", "l_returnflag"]
 
 
+def market_structure_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.market_structure_joined(respondents(spark, sf_dir))
+
+
 def technology_long_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, answers and NULL answers of the unpivoted flags: no NULL row is lost."""
     long = unpivot_flags(respondents(spark, sf_dir), TECHNOLOGIES, ["ano_pesquisa"], "tecnologia", "adotou")
@@ -276,6 +280,7 @@ def extract_file_gender_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OPERATOR_QUERIES = {
+    "market_structure_joined": market_structure_joined,
     "technology_long_counts": technology_long_counts,
     "ordinal_median_by_region": ordinal_median_by_region,
     "gender_pivot": gender_pivot,

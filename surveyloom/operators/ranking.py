@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 
 def latest_row(frame: DataFrame, year: str = "ano_pesquisa") -> DataFrame:
-    """The one row of the greatest year."""
+    """The one row of the greatest year; none if there are no rows."""
     newest = frame.agg(F.max_by(F.struct("*"), F.col(year)).alias("row"))
-    return newest.select("row.*")
+    return newest.filter(F.col("row").isNotNull()).select("row.*")
 
 
 def latest_cells(cells: DataFrame, measure: str, year: str = "ano_pesquisa") -> DataFrame:
     """All cells of the greatest year that has any answer.
 
-    The scalar reads ``measure`` as well, so that both uses of the cells keep the same columns
-    and share one shuffle.
+    The one-row maximum is joined back and not used as a filter: a filter would be pushed into
+    the scan, and the rows would be read once for the maximum and again for the cells. The
+    maximum reads ``measure`` too, so that both sides keep the same columns and share a shuffle.
     """
-    newest = cells.agg(F.max(F.when(F.col(measure) > 0, F.col(year)))).scalar()
-    return cells.filter(F.col(year) == newest)
+    newest = cells.agg(F.max(F.when(F.col(measure) > 0, F.col(year))).alias(year))
+    return cells.join(newest, year)
 
 
 def top_k(cells: DataFrame, measure: str, name: str, k: int) -> DataFrame:

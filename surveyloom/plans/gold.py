@@ -77,10 +77,25 @@ def annual_kpis(silver: DataFrame) -> DataFrame:
     return yearly.withColumns({r.percent: percent(r.hits, r.answered) for r in ANNUAL_RATES})
 
 
+def market_cells(silver: DataFrame) -> DataFrame:
+    """Respondents per title and seniority; a row without an edition has no total to share."""
+    return known(silver, TITLE, YEAR).groupBy(YEAR, TITLE, LEVEL).agg(F.count("*").alias("respondentes"))
+
+
 def market_structure(silver: DataFrame) -> DataFrame:
-    """Titled respondents by title and seniority, and their share of the edition."""
-    cells = known(silver, TITLE).groupBy(YEAR, TITLE, LEVEL).agg(F.count("*").alias("respondentes"))
-    totalled = join_total(cells, [YEAR], "respondentes", "denominador_ano")
+    """Titled respondents by title and seniority, and their share of the edition.
+
+    The edition total is a window over the cells. A query that does not read it drops the
+    window, where a join would have to stay.
+    """
+    cells = market_cells(silver)
+    totalled = cells.withColumn("denominador_ano", window_total("respondentes", [YEAR]))
+    return with_share(totalled, "respondentes", "denominador_ano", "percentual_ano")
+
+
+def market_structure_joined(silver: DataFrame) -> DataFrame:
+    """The same table with the edition totals joined on: for very many cells per edition."""
+    totalled = join_total(market_cells(silver), [YEAR], "respondentes", "denominador_ano")
     return with_share(totalled, "respondentes", "denominador_ano", "percentual_ano")
 
 
