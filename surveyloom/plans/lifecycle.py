@@ -131,14 +131,19 @@ def conform_editions(spark: SparkSession, editions: Sequence[Edition], processed
 
 
 def store_gold(
-    spark: SparkSession, silver: DataFrame, database: str, location: str, settings: Settings = Settings()
+    spark: SparkSession,
+    silver: DataFrame,
+    database: str,
+    location: str,
+    settings: Settings = Settings(),
+    rebalance: bool = True,
 ) -> Frames:
     """Store the conformed rows by edition, then every aggregate table from the stored rows.
 
     The stored rows are the restart point: a lost executor re-reads Parquet, not the raw text.
     """
     ensure_database(spark, database, location)
-    write_table(silver, database, SILVER_TABLE, f"{location}/silver", partition_by=["ano_pesquisa"])
+    write_table(silver, database, SILVER_TABLE, f"{location}/silver", ["ano_pesquisa"], rebalance)
     stored = read_tables(spark, database, [SILVER_TABLE])[SILVER_TABLE]
     for name, frame in build_gold(stored, settings).items():
         write_table(frame, database, name, f"{location}/gold/{name}")
@@ -156,7 +161,8 @@ def build_lake(
     """Raw editions to conformed, aggregate and audit tables; fails when an aggregate is empty."""
     editions = store_raw(spark, editions, f"{location}/bronze")
     silver = conform_editions(spark, editions, datetime.now(timezone.utc))
-    store_gold(spark, silver, database, location, settings)
+    # Every task reads one edition, so the rows are already apart by edition.
+    store_gold(spark, silver, database, location, settings, rebalance=False)
     names = [SILVER_TABLE, *GOLD_BUILDERS, AUDIT_TABLE]
     tables = read_tables(spark, database, names)
     audit = conform_audit(profile_editions(spark, editions), tables[SILVER_TABLE], regions, SENIORITIES)

@@ -25,15 +25,22 @@ def use_database(spark: SparkSession, database: str) -> None:
 
 
 def write_table(
-    frame: DataFrame, database: str, table: str, path: str, partition_by: Sequence[str] = ()
+    frame: DataFrame,
+    database: str,
+    table: str,
+    path: str,
+    partition_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> None:
     """Overwrite an external Parquet table.
 
-    Output is rebalanced by size: a small aggregate ends in one file, a large partition in
-    several, and no single task writes everything.
+    Rebalancing shuffles the output by size: a small aggregate ends in one file, a large
+    partition in several, and no single task writes everything. Rows that already come one
+    partition per task are written as they are, without a shuffle.
     """
-    balanced = frame.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = balanced.write.mode("overwrite").format("parquet").option("compression", "snappy")
+    if rebalance:
+        frame = frame.hint("rebalance", *[F.col(c) for c in partition_by])
+    writer = frame.write.mode("overwrite").format("parquet").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.option("path", path).saveAsTable(_name(database, table))

@@ -55,7 +55,6 @@ def test_weighted_mean_without_weight_is_null(spark):
     ],
 )
 def test_pt_number(spark, value, text):
-    assert f"{value:,.1f}".replace(",", "X").replace(".", ",").replace("X", ".") == text
     assert spark.range(1).select(pt_number(F.lit(value))).first()[0] == text
 
 
