@@ -266,7 +266,7 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, respondents(spark, sf_dir), database, fresh_folder(spark, "lake"), FIXTURE_SETTINGS
     )
     counts = [tables[name].select(F.lit(name).alias("tabela")) for name in tables]
-    rows = lifecycle._union(counts).groupBy("tabela").agg(F.count("*").alias("linhas"))
+    rows = lifecycle.union_all(counts).groupBy("tabela").agg(F.count("*").alias("linhas"))
     return inventory(spark, database).select(F.col("tableName").alias("tabela")).join(rows, "tabela")
 
 

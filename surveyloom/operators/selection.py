@@ -14,6 +14,19 @@ def known(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
 
 
+def in_segment(frame: DataFrame, label: str, kind: str = "segmento_tipo") -> DataFrame:
+    """The cells of one segmentation."""
+    return frame.filter(F.col(kind) == label)
+
+
+def ascending(name: str) -> Column:
+    return F.asc_nulls_last(name)
+
+
+def descending(name: str) -> Column:
+    return F.desc_nulls_last(name)
+
+
 def suppress_small(frame: DataFrame, size: str, minimum: int) -> DataFrame:
     """Cells with at least ``minimum`` answers behind the metric that is shown."""
     return frame.filter(F.col(size) >= minimum)

@@ -14,14 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions import weighted_mean
-from surveyloom.operators.selection import known
+from surveyloom.operators.selection import ascending, descending, in_segment, known
 from surveyloom.plans.frames import Frames
-from surveyloom.plans.kpi_queries import Tables, _down, _segment, _up
+from surveyloom.plans.kpi_queries import Tables
 from surveyloom.vocabulary import EVERYONE, Settings
 
 
 def _overall(table: DataFrame) -> DataFrame:
-    return _segment(table, "geral").filter(F.col("segmento_valor") == EVERYONE)
+    return in_segment(table, "geral").filter(F.col("segmento_valor") == EVERYONE)
 
 
 def _rollup(cells: DataFrame, *keys: str) -> DataFrame:
@@ -41,7 +41,7 @@ def market(tables: Tables, settings: Settings = Settings()) -> DataFrame:
 
 
 def pay_by_title(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    cells = _segment(tables["gold_remuneracao"], "cargo", "dimensao_tipo")
+    cells = in_segment(tables["gold_remuneracao"], "cargo", "dimensao_tipo")
     return cells.filter(F.col("ano_pesquisa") == settings.focus_year).select(
         "ano_pesquisa",
         F.col("dimensao_valor").alias("cargo_padronizado"),
@@ -51,7 +51,7 @@ def pay_by_title(tables: Tables, settings: Settings = Settings()) -> DataFrame:
 
 
 def pay_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    return _segment(tables["gold_remuneracao"], "senioridade", "dimensao_tipo").select(
+    return in_segment(tables["gold_remuneracao"], "senioridade", "dimensao_tipo").select(
         "ano_pesquisa",
         F.col("dimensao_valor").alias("senioridade"),
         "respondentes_faixa_valida",
@@ -72,7 +72,7 @@ def ai_overall(tables: Tables, settings: Settings = Settings()) -> DataFrame:
 
 
 def ai_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    return _segment(tables["gold_inteligencia_artificial"], "senioridade").select(
+    return in_segment(tables["gold_inteligencia_artificial"], "senioridade").select(
         "ano_pesquisa",
         F.col("segmento_valor").alias("senioridade"),
         "respondentes_validos",
@@ -108,20 +108,20 @@ class Extract:
 
 
 def _extracts() -> dict[str, Extract]:
-    year = _up("ano_pesquisa")
-    model = _up("modelo_trabalho_padronizado")
+    year = ascending("ano_pesquisa")
+    model = ascending("modelo_trabalho_padronizado")
     # Extract names.
     return {
         "kpis": Extract(kpis, (year,)),
-        "diversidade": Extract(gender, (year, _up("genero"))),
-        "mercado": Extract(market, (year, _down("respondentes"))),
-        "remuneracao_cargo": Extract(pay_by_title, (_down("salario_medio_aproximado"),)),
-        "remuneracao_senioridade": Extract(pay_by_seniority, (year, _up("senioridade"))),
-        "tecnologias": Extract(technologies, (year, _up("tecnologia"))),
+        "diversidade": Extract(gender, (year, ascending("genero"))),
+        "mercado": Extract(market, (year, descending("respondentes"))),
+        "remuneracao_cargo": Extract(pay_by_title, (descending("salario_medio_aproximado"),)),
+        "remuneracao_senioridade": Extract(pay_by_seniority, (year, ascending("senioridade"))),
+        "tecnologias": Extract(technologies, (year, ascending("tecnologia"))),
         "ia_geral": Extract(ai_overall, (year,)),
-        "ia_senioridade": Extract(ai_by_seniority, (year, _up("senioridade"))),
+        "ia_senioridade": Extract(ai_by_seniority, (year, ascending("senioridade"))),
         "trabalho": Extract(work_models, (year, model)),
-        "regiao_trabalho": Extract(region_work, (_up("regiao_moradia"), model)),
+        "regiao_trabalho": Extract(region_work, (ascending("regiao_moradia"), model)),
     }
 
 

@@ -10,24 +10,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.operators.selection import suppress_small
+from surveyloom.operators.selection import ascending, descending, in_segment, suppress_small
 from surveyloom.vocabulary import AUDIT_TABLE, Settings
 
 Tables = Mapping[str, DataFrame]
 
 
-def _up(name: str):
-    return F.asc_nulls_last(name)
-
-
-def _down(name: str):
-    return F.desc_nulls_last(name)
-
-
-def _segment(table: DataFrame, label: str, kind: str = "segmento_tipo") -> DataFrame:
-    return table.filter(F.col(kind) == label)
-
-
 def annual_summary(tables: Tables, settings: Settings = Settings()) -> DataFrame:
     return (
         tables["gold_kpis_anuais"]
@@ -43,7 +31,7 @@ def annual_summary(tables: Tables, settings: Settings = Settings()) -> DataFrame
             "ia_elegiveis_validos",
             "ia_respostas_contraditorias",
         )
-        .orderBy(_up("ano_pesquisa"))
+        .orderBy(ascending("ano_pesquisa"))
     )
 
 
@@ -56,11 +44,11 @@ def market_by_title(tables: Tables, settings: Settings = Settings()) -> DataFram
         "respondentes",
         "denominador_ano",
         "percentual_ano",
-    ).orderBy(_up("ano_pesquisa"), _down("respondentes"))
+    ).orderBy(ascending("ano_pesquisa"), descending("respondentes"))
 
 
 def pay_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    cells = _segment(tables["gold_remuneracao"], "senioridade", "dimensao_tipo")
+    cells = in_segment(tables["gold_remuneracao"], "senioridade", "dimensao_tipo")
     return (
         suppress_small(cells, "respondentes_ponto_medio", settings.min_cell)
         .select(
@@ -70,13 +58,13 @@ def pay_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFra
             "salario_medio_aproximado",
             "faixa_mediana_ordem",
         )
-        .orderBy(_up("ano_pesquisa"), _down("salario_medio_aproximado"))
+        .orderBy(ascending("ano_pesquisa"), descending("salario_medio_aproximado"))
     )
 
 
 def pay_by_title(tables: Tables, settings: Settings = Settings()) -> DataFrame:
     """Pay by title in the focus year."""
-    cells = _segment(tables["gold_remuneracao"], "cargo", "dimensao_tipo")
+    cells = in_segment(tables["gold_remuneracao"], "cargo", "dimensao_tipo")
     in_focus = cells.filter(F.col("ano_pesquisa") == settings.focus_year)
     return (
         suppress_small(in_focus, "respondentes_ponto_medio", settings.min_cell)
@@ -86,7 +74,7 @@ def pay_by_title(tables: Tables, settings: Settings = Settings()) -> DataFrame:
             "salario_medio_aproximado",
             "faixa_mediana_ordem",
         )
-        .orderBy(_down("salario_medio_aproximado"))
+        .orderBy(descending("salario_medio_aproximado"))
     )
 
 
@@ -103,12 +91,17 @@ def diversity(tables: Tables, settings: Settings = Settings()) -> DataFrame:
         "gestores",
         "respondentes_com_salario",
         "salario_medio_aproximado",
-    ).orderBy(_up("ano_pesquisa"), _up("cargo_padronizado"), _up("senioridade"), _down("respondentes"))
+    ).orderBy(
+        ascending("ano_pesquisa"),
+        ascending("cargo_padronizado"),
+        ascending("senioridade"),
+        descending("respondentes"),
+    )
 
 
 def technology_overall(tables: Tables, settings: Settings = Settings()) -> DataFrame:
     """A technology that an edition did not ask about as use has nobody eligible and is left out."""
-    cells = _segment(tables["gold_tecnologias"], "geral")
+    cells = in_segment(tables["gold_tecnologias"], "geral")
     return (
         suppress_small(cells, "respondentes_elegiveis", 1)
         .select(
@@ -118,13 +111,13 @@ def technology_overall(tables: Tables, settings: Settings = Settings()) -> DataF
             "adotantes",
             "percentual_adocao",
         )
-        .orderBy(_up("tecnologia"), _up("ano_pesquisa"))
+        .orderBy(ascending("tecnologia"), ascending("ano_pesquisa"))
     )
 
 
 def technology_by_title(tables: Tables, settings: Settings = Settings()) -> DataFrame:
     """Technology adoption by title in the focus year."""
-    cells = _segment(tables["gold_tecnologias"], "cargo")
+    cells = in_segment(tables["gold_tecnologias"], "cargo")
     in_focus = cells.filter(F.col("ano_pesquisa") == settings.focus_year)
     return (
         suppress_small(in_focus, "respondentes_elegiveis", settings.min_cell)
@@ -135,13 +128,13 @@ def technology_by_title(tables: Tables, settings: Settings = Settings()) -> Data
             "adotantes",
             "percentual_adocao",
         )
-        .orderBy(_up("tecnologia"), _down("percentual_adocao"))
+        .orderBy(ascending("tecnologia"), descending("percentual_adocao"))
     )
 
 
 def ai_overall(tables: Tables, settings: Settings = Settings()) -> DataFrame:
     return (
-        _segment(tables["gold_inteligencia_artificial"], "geral")
+        in_segment(tables["gold_inteligencia_artificial"], "geral")
         .select(
             "ano_pesquisa",
             F.col("respondentes_validos").alias("n"),
@@ -152,12 +145,12 @@ def ai_overall(tables: Tables, settings: Settings = Settings()) -> DataFrame:
             "uso_pago_empresa",
             "uso_copilot",
         )
-        .orderBy(_up("ano_pesquisa"))
+        .orderBy(ascending("ano_pesquisa"))
     )
 
 
 def ai_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    cells = _segment(tables["gold_inteligencia_artificial"], "senioridade")
+    cells = in_segment(tables["gold_inteligencia_artificial"], "senioridade")
     return (
         suppress_small(cells, "respondentes_validos", settings.min_cell)
         .select(
@@ -166,7 +159,7 @@ def ai_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFram
             F.col("respondentes_validos").alias("n"),
             "percentual_adocao_ia",
         )
-        .orderBy(_up("ano_pesquisa"), _down("percentual_adocao_ia"))
+        .orderBy(ascending("ano_pesquisa"), descending("percentual_adocao_ia"))
     )
 
 
@@ -182,7 +175,7 @@ def region_work_model(tables: Tables, settings: Settings = Settings()) -> DataFr
         "salario_medio_aproximado",
         F.col("respondentes_validos_ia").alias("n_ia"),
         "percentual_adocao_ia",
-    ).orderBy(_up("ano_pesquisa"), _up("regiao_moradia"), _down("respondentes"))
+    ).orderBy(ascending("ano_pesquisa"), ascending("regiao_moradia"), descending("respondentes"))
 
 
 def conform_audit(tables: Tables, settings: Settings = Settings()) -> DataFrame:
@@ -201,7 +194,7 @@ def conform_audit(tables: Tables, settings: Settings = Settings()) -> DataFrame:
             "senioridades_invalidas",
             "status",
         )
-        .orderBy(_up("ano"))
+        .orderBy(ascending("ano"))
     )
 
 

@@ -66,7 +66,7 @@ def store_raw(spark: SparkSession, editions: Sequence[Edition], location: str) -
     return stored
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -85,7 +85,7 @@ def profile_editions(spark: SparkSession, editions: Sequence[Edition]) -> DataFr
             "duplicados_excedentes",
         )
 
-    return _union([profile(edition) for edition in sorted(editions, key=lambda e: e.year)])
+    return union_all([profile(edition) for edition in sorted(editions, key=lambda e: e.year)])
 
 
 def stamp_audit(profile: DataFrame, comparison: DataFrame, run_id: str, at: datetime) -> DataFrame:
@@ -122,7 +122,7 @@ def validate_editions(
 
 def conform_editions(spark: SparkSession, editions: Sequence[Edition], processed_at: datetime) -> DataFrame:
     """All editions in the conformed columns; no row is dropped or merged."""
-    return _union(
+    return union_all(
         [
             conform(read_edition(spark, edition), edition.year, edition.rules, processed_at)
             for edition in sorted(editions, key=lambda e: e.year)

@@ -106,7 +106,8 @@ def test_genders_keep_unlisted_after_listed(spark):
 
 def test_undrawn_work_models_stay_in_the_denominator(spark):
     data = _counts(spark, "modelo_trabalho_padronizado", [(1, "Remoto", 50), (1, "Outro", 25), (1, "Presencial", 25)])
-    result = [(r.modelo_trabalho_padronizado, r.percentual, r.base) for r in work_model_share({"trabalho": data}).collect()]
+    drawn = work_model_share({"trabalho": data}).collect()
+    result = [(r.modelo_trabalho_padronizado, r.percentual, r.base) for r in drawn]
     assert result == [("Remoto", 50.0, 0.0), ("Presencial", 25.0, 50.0)]
 
 

@@ -1,6 +1,6 @@
 """Strict files, conforming rules, audits and stored tables."""
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,7 +155,8 @@ def test_failed_validation_is_logged_before_it_raises(spark, editions, tmp_path)
         lifecycle.validate_editions(spark, wrong, log)
     runs = read_runs(spark, log)
     assert runs.count() == 14
-    by_run = {r.id_execucao: r.n for r in runs.filter("status = 'OK'").groupBy("id_execucao").agg(F.count("*").alias("n")).collect()}
+    matched = runs.filter("status = 'OK'").groupBy("id_execucao").agg(F.count("*").alias("n"))
+    by_run = {row.id_execucao: row.n for row in matched.collect()}
     assert by_run[first] == 7 and sorted(by_run.values()) == [6, 7]
     assert runs.select("id_execucao", "data_hora_processamento").distinct().count() == 2
 
@@ -219,7 +220,8 @@ def test_audit_runs_are_appended(spark, tmp_path, capsys):
 
 
 def test_local_extracts_have_declared_types_and_skip_two_charts(spark, tmp_path):
-    _file(tmp_path, "total_respondentes,ano_pesquisa,percentual_remoto,percentual_mulheres,percentual_ia\n10,2024,1.5,x,2\n", "kpis_anuais.csv")
+    header = "total_respondentes,ano_pesquisa,percentual_remoto,percentual_mulheres,percentual_ia"
+    _file(tmp_path, f"{header}\n10,2024,1.5,x,2\n", "kpis_anuais.csv")
     _file(tmp_path, "ano_pesquisa,percentual_adocao_ia,respondentes_validos\n2024,45.25,1234\n", "ia_geral.csv")
     data = read_extract_files(spark, str(tmp_path))
     assert data["kpis"].first()[:] == (2024, 10, 1.5, None, 2.0)
@@ -234,4 +236,3 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert folder == shared_folder(spark)
     if named:
         assert folder == named.rstrip("/")
-    assert datetime.now(timezone.utc).tzinfo is not None

@@ -41,7 +41,8 @@ def write_copies(spark: SparkSession, source: str, copies: int, hot: bool) -> st
             frame = frame.withColumns({key: F.col(key) + F.col("i") * SHIFT for key in keys[table]}).drop("i")
             if table == "orders" and hot:
                 third = F.xxhash64("o_orderkey") % 3 == 0
-                frame = frame.withColumn("o_custkey", F.when(third, F.lit(1).cast("long")).otherwise(F.col("o_custkey")))
+                customer = F.when(third, F.lit(1).cast("long")).otherwise(F.col("o_custkey"))
+                frame = frame.withColumn("o_custkey", customer)
             frame = frame.repartition(16)
         frame.write.parquet(f"{folder}/{table}.parquet")
     return folder
