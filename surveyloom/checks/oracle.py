@@ -190,9 +190,10 @@ TECH_LONG = (
     + ", ".join(f"{flag} AS '{name}'" for flag, name in _TECH_NAMES.items())
     + ")))"
 )
+# Materialized: on little data DuckDB otherwise stops with an internal error in one statement.
 TECH = (
     TECH_LONG
-    + ",\ntech AS ("
+    + ",\ntech AS MATERIALIZED ("
     + "\n  UNION ALL".join(
         f"""
   SELECT ano_pesquisa, tecnologia, '{label}' AS segmento_tipo, {column} AS segmento_valor,
