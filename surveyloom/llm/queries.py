@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from surveyloom.llm import decontaminate, langid, mixing, secrets, sketch, toxicity, warc
 from surveyloom.llm.neardup import near_duplicates
 
 
@@ -13,14 +14,61 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edited text."""
+    return sketch.edit_report(_table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside occurrences of benchmark windows."""
+    return decontaminate.report(decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over sets of two-word shingles."""
     return near_duplicates(_table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back."""
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by segmentation-marginalised unigrams."""
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often a mix at 150 % of all words takes each document."""
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document after deobfuscation."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document by pattern and entropy."""
+    return secrets.report(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op2_language_id": op2_language_id,
+    "op3_mix_sources": op3_mix_sources,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_decontamination": op6_decontamination,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_toxicity": op9_toxicity,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express them on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_warc": warc.WARC_SQL,
+    "op3_mix_sources": mixing.MIX_SQL,
+}

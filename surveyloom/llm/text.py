@@ -44,6 +44,9 @@ ALNUM_WORDS = _kind({*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61),
 #: Letters only; every byte of a character beyond ASCII counts as one.
 LETTER_WORDS = _kind({*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)}, False)
 
+#: The same words with A-Z read as a-z.
+FOLDED_LETTERS = _kind({*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)}, True)
+
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and where each begins (one more offset than rows). A null is an empty text."""
