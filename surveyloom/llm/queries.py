@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveyloom.llm import decontaminate, langid, mixing, secrets, sketch, toxicity, warc
+import corpus_pipeline
+from surveyloom.llm import decontaminate, html_extract, langid, mixing, quality, secrets, sketch, toxicity, warc
 from surveyloom.llm.neardup import near_duplicates
 
 
@@ -14,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by two co-trained views."""
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every document and of its edited text."""
     return sketch.edit_report(_table(spark, sf_dir, "documents"))
@@ -24,6 +30,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over sets of two-word shingles."""
     return near_duplicates(_table(spark, sf_dir, "documents"), size=2, percent=80)
@@ -60,11 +71,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
     "op3_mix_sources": op3_mix_sources,
+    "op4_quality": op4_quality,
     "op5_fingerprints": op5_fingerprints,
     "op6_decontamination": op6_decontamination,
+    "op7_html_extraction": op7_html_extraction,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express them on whole tables.
