@@ -2,8 +2,9 @@
 
 Equal shingle sets become one class first, so copies cost one row each and are never compared. Each class is then linked inside
 its buckets. The first round compares every member of a bucket with the bucket's hub, the member that most others meet. What
-the hub does not reach (strays) is compared with all members of other components in a second round, so no pair that shares a
-bucket is left out unless both ends are in one component already. Links count only after both signatures and full sets agree.
+the hub does not reach (strays) is compared in a second round with all members of other components that it can still be similar
+to, by an exact bound from both ends' differences from the hub. So no similar pair that shares a bucket is left out unless both
+ends are in one component already. Links count only after both signatures and full sets agree.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.llm.components import components
@@ -24,8 +25,13 @@ from surveyloom.llm.text import SPACED_WORDS, mix, row_groups, shingles, text_by
 BANDS, ROWS = 36, 5
 #: Signatures are compared by one byte of each minimum; 0.12 is five standard errors below the threshold.
 SLACK = 0.12
+#: Bits of the filter that tells which documents need their full sets.
+FILTER_BITS = 23
+#: 64-bit words that describe the difference of a set from its hub's (a power of two).
+DIFFERENCE_WORDS = 16
 
 _PRINT = "doc_id long, n_shingles long, set_key binary, bands array<long>, signature binary"
+_COMPARED = "member long, hub long, n long, hub_n long, common long, own array<long>, gone array<long>"
 _SET = "doc_id long, shingles array<long>"
 
 
@@ -84,10 +90,25 @@ def fingerprints(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROW
     return docs.select("doc_id", "text").mapInArrow(run, _PRINT)
 
 
-def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+def _filter_of(ids: DataFrame) -> bytes:
+    """A bitmap over the hashes of `ids` (doc_id): of fixed size, so at most 2 ** FILTER_BITS / 64 numbers go to the driver."""
+
+    slot = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS)
+    cells = ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("cell"))
+    bitmap = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for cell, bits in cells.agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")).collect():
+        bitmap[cell] = bits
+    return bitmap.tobytes()
+
+
+def _shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """doc_id and shingles of the documents in `ids`, and of a few whose hashes fall on the same bits. No text is shuffled."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(_filter_of(ids))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little").astype(bool)
         for batch in batches:
-            got = list(_sets(batch, size))
+            got = list(_sets(batch.select([0, 1]).filter(pa.array(wanted[np.array(batch.column(2))])), size))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([i for i, _ in got], pa.int64()),
@@ -96,7 +117,8 @@ def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
                 names=["doc_id", "shingles"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SET)
+    slot = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS)
+    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text", slot.alias("slot")).mapInArrow(run, _SET)
 
 
 def _agreeing(pairs: DataFrame, prints: DataFrame, threshold: float) -> DataFrame:
@@ -111,57 +133,100 @@ def _agreeing(pairs: DataFrame, prints: DataFrame, threshold: float) -> DataFram
             likely = (same - 1 / 256) / (1 - 1 / 256) >= threshold - SLACK
             yield batch.select([0, 1]).filter(pa.array(likely))
 
-    left = prints.select(F.col("doc_id").alias("a"), F.col("signature").alias("sa"))
-    right = prints.select(F.col("doc_id").alias("b"), F.col("signature").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    left = prints.select(F.col("doc_id").alias("member"), F.col("signature").alias("sa"))
+    right = prints.select(F.col("doc_id").alias("hub"), F.col("signature").alias("sb"))
+    both = pairs.join(left, "member").join(right, "hub")
+    return both.select("member", "hub", "sa", "sb").mapInArrow(run, "member long, hub long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the similarity: 100 * intersection >= percent * union."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(_shingle_sets(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi"), size), "sets")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"
-    )
-    common = F.size(F.array_intersect("x", "y"))
-    union = F.size("x") + F.size("y") - common
-    return both.filter(100 * common >= percent * union).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
+def _compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """member, hub, n, hub_n, common and what tells the two full sets apart: bits of the shingles that only the member has (own)
+    and of those that only the hub has (gone)."""
+    needed = pairs.select(F.explode(F.array("member", "hub")).alias("doc_id")).distinct()
+    sets = stored(_shingle_sets(docs, needed, size), "sets")
+    mine = sets.select(F.col("doc_id").alias("member"), F.col("shingles").alias("x"))
+    theirs = sets.join(pairs.select(F.col("hub").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    both = pairs.join(mine, "member").join(theirs.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("y")), "hub")
 
+    def bits(values: np.ndarray) -> np.ndarray:
+        out = np.zeros(64 * DIFFERENCE_WORDS, np.uint8)
+        out[values.view(np.uint64) >> np.uint64(58 - (DIFFERENCE_WORDS.bit_length() - 1))] = 1
+        return np.packbits(out, bitorder="little").view(np.int64)
 
-def _pair(x: str, y: str) -> list:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            x_all, y_all = batch.column(2), batch.column(3)
+            for i in range(batch.num_rows):
+                x, y = (np.asarray(c[i].values).view(np.uint64) for c in (x_all, y_all))
+                at = np.minimum(np.searchsorted(y, x), max(len(y) - 1, 0))
+                same = y[at] == x
+                gone = np.ones(len(y), bool)
+                gone[at[same]] = False
+                rows.append((len(x), len(y), int(same.sum()), bits(x[~same]), bits(y[gone])))
+            n, hub_n, common, own, lost = zip(*rows) if rows else ((),) * 5
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in (n, hub_n, common)), pa.array(own, longs), pa.array(lost, longs)],
+                names=["member", "hub", "n", "hub_n", "common", "own", "gone"],
+            )
 
+    return both.select("member", "hub", "x", "y").mapInArrow(run, _COMPARED)
 
-def _hub_pairs(members: DataFrame) -> DataFrame:
+
+def _links(compared: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets reach the similarity: 100 * intersection >= percent * union."""
+    near = 100 * F.col("common") >= percent * (F.col("n") + F.col("hub_n") - F.col("common"))
+    return compared.filter(near).select(F.col("member").alias("u"), F.col("hub").alias("v")).distinct()
+
+
+def _hubs(members: DataFrame) -> DataFrame:
     """Every member of a bucket with its hub: the member that meets most others over all buckets."""
     met = members.groupBy("doc_id").agg(F.sum("m").alias("met"))
     known = members.join(met, "doc_id").select("doc_id", "bucket", "met")
     hub = known.groupBy("bucket").agg(F.max(F.struct("met", -F.col("doc_id"))).alias("top"))
-    hub = hub.select("bucket", (-F.col("top.col2")).alias("hub"))
-    pairs = known.join(hub, "bucket").filter("doc_id <> hub")
-    return pairs.select(*_pair("doc_id", "hub")).distinct()
+    return known.join(hub.select("bucket", (-F.col("top.col2")).alias("hub")), "bucket").select("doc_id", "bucket", "hub")
+
 
+def _shared_bits(a: str, b: str) -> Column:
+    return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x & y)), 0, (n, x) -> n + x)")
 
-def _stray_pairs(members: DataFrame, found: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
-    """Members outside the largest component of their bucket, with all members of other components there.
 
-    A pair is emitted by the first bucket that both ends share, and only if the sizes of the sets let it be similar.
+def _spare(bits: str, count: Column) -> Column:
+    """Shingles of a set beyond the bits they set."""
+    return count - F.expr(f"aggregate({bits}, 0, (n, x) -> n + bit_count(x))")
+
+
+def _stray_pairs(members: DataFrame, compared: DataFrame, found: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
+    """Members outside the largest component of their bucket, with all members of other components there that can be similar.
+
+    Both ends have been compared with the hub, which bounds their intersection: what they have of the hub together is
+    |a & h| + |b & h| - |h| and the shingles that both lack; the rest is what both have beside the hub. The bits of the two
+    differences bound these overlaps from above, so no similar pair is left out. A pair is emitted by the first bucket that
+    both ends share.
     """
     own = members.join(found, members["doc_id"] == found["node"], "left").select(
-        "doc_id", "bucket", F.coalesce("component", "doc_id").alias("component")
+        "doc_id", "bucket", "hub", F.coalesce("component", "doc_id").alias("component")
     )
     cells = own.groupBy("bucket", "component").count()
     top = cells.groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("n"))
     mixed = top.filter("n > 1").select("bucket", F.col("top.component").alias("main"))
-    own = own.join(mixed, "bucket").join(prints.select("doc_id", "n_shingles", "bands"), "doc_id")
+    own = own.filter("doc_id <> hub").join(mixed, "bucket")
+    own = own.join(leaders.select("doc_id", F.col("n_shingles").alias("size"), "bands"), "doc_id")
+    facts = compared.select(F.col("member").alias("doc_id"), "hub", "hub_n", "common", "own", "gone")
+    own = own.join(facts, ["doc_id", "hub"], "left")
     stray = own.filter("component <> main").select(
-        "bucket", *(F.col(c).alias("s_" + c) for c in ("doc_id", "component", "n_shingles", "bands"))
+        "bucket", *(F.col(c).alias("s_" + c) for c in ("doc_id", "component", "size", "bands", "common", "own", "gone"))
     )
     shared = F.expr("element_at(filter(zip_with(bands, s_bands, (x, y) -> if(x = y, x, NULL)), x -> x IS NOT NULL), 1) = bucket")
-    close = (100 * F.least("n_shingles", "s_n_shingles") >= percent * F.greatest("n_shingles", "s_n_shingles"))
     once = (F.col("component") == F.col("main")) | (F.col("s_doc_id") < F.col("doc_id"))
-    both = stray.join(own, "bucket").filter((F.col("component") != F.col("s_component")) & close & once & shared)
-    return both.select(*_pair("doc_id", "s_doc_id"))
+    beside = _shared_bits("own", "s_own") + _spare("own", F.col("size") - F.col("common"))
+    lacking = _shared_bits("gone", "s_gone") + _spare("gone", F.col("hub_n") - F.col("common"))
+    most = F.col("common") + F.col("s_common") - F.col("hub_n") + lacking + beside
+    most = F.least("size", "s_size", F.coalesce(most, F.col("size")))
+    close = 100 * most >= percent * (F.col("size") + F.col("s_size") - most)
+    both = stray.join(own, "bucket").filter((F.col("component") != F.col("s_component")) & once & shared & close)
+    return both.select(F.col("s_doc_id").alias("member"), F.col("doc_id").alias("hub"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -184,11 +249,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     spread = leaders.select("doc_id", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
     members = stored(spread.join(shared, "bucket").select("doc_id", "bucket", "m"), "members")
-
-    pairs = _hub_pairs(members)
-    first = stored(_confirmed(_agreeing(pairs, leaders, percent / 100), docs, size, percent), "hub-links")
-    strays = stored(_agreeing(_stray_pairs(members, components(first), leaders, percent), leaders, percent / 100), "strays")
-    second = _confirmed(strays, docs, size, percent)
+    members = stored(_hubs(members), "hubs")
+
+    pairs = members.filter("doc_id <> hub").select(F.col("doc_id").alias("member"), "hub").distinct()
+    pairs = stored(_agreeing(pairs, leaders, percent / 100), "hub-pairs")
+    compared = stored(_compared(pairs, docs, size), "compared")
+    first = _links(compared, percent)
+    strays = _stray_pairs(members, compared, components(first), leaders, percent)
+    strays = stored(_agreeing(strays, leaders, percent / 100), "stray-pairs")
+    second = _links(_compared(strays, docs, size), percent)
 
     same = linked.select("doc_id", "set_key").join(classes.withColumnRenamed("doc_id", "v"), "set_key")
     copies = same.filter("doc_id <> v").select(F.col("doc_id").alias("u"), "v")
