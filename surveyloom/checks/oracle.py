@@ -329,7 +329,7 @@ WHERE dimensao_tipo = 'cargo' AND ano_pesquisa = {FOCUS} AND respondentes_ponto_
     "kpi_technology_overall": using(
         TECH,
         select="""SELECT ano_pesquisa, tecnologia, respondentes_elegiveis AS n, adotantes, percentual_adocao
-FROM tech WHERE segmento_tipo = 'geral' AND respondentes_elegiveis > 0""",
+FROM tech WHERE segmento_tipo = 'geral'""",
     ),
     "kpi_technology_by_title_year_min30": using(
         TECH,
@@ -533,6 +533,10 @@ OPERATOR_SQL = {
     "excess_duplicates": f"""SELECT COUNT(*) AS registros,
   COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT {_IDENTITY} FROM lineitem)) AS duplicados_excedentes
 FROM lineitem""",
+    "excess_duplicates_all_columns": """SELECT l_returnflag, COUNT(*) AS registros,
+  COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lineitem) d WHERE d.l_returnflag = a.l_returnflag)
+    AS duplicados_excedentes
+FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 89 = 0) a GROUP BY l_returnflag""",
     "excess_duplicates_by_year": using(
         select=f"""SELECT ano_pesquisa, registros, registros - distintos AS duplicados_excedentes
 FROM (SELECT ano_pesquisa, COUNT(*) AS registros FROM r GROUP BY 1)
@@ -541,15 +545,14 @@ FROM (SELECT ano_pesquisa, COUNT(*) AS registros FROM r GROUP BY 1)
     ),
     "repeated_lines": f"SELECT {_IDENTITY}, COUNT(*) AS copies FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1",
     "quality_audit": using(
-        select=f"""SELECT ano_pesquisa AS ano, 'bronze_para_silver' AS etapa, n AS registros_entrada,
+        select="""SELECT ano_pesquisa AS ano, 'bronze_para_silver' AS etapa, n AS registros_entrada,
   n AS registros_saida, CAST(0 AS BIGINT) AS registros_descartados,
   n - distintos AS duplicidades_excedentes_preservadas, CAST(0 AS BIGINT) AS ids_nulos,
   regioes_invalidas, CAST(0 AS BIGINT) AS senioridades_invalidas,
   CASE WHEN regioes_invalidas > 0 THEN 'ALERTA' ELSE 'OK' END AS status
-FROM (SELECT ano_pesquisa, COUNT(*) AS n,
-        COUNT(*) FILTER (regiao_moradia = 'MIDDLE EAST') AS regioes_invalidas FROM r GROUP BY 1)
-  JOIN (SELECT ano_pesquisa, COUNT(*) AS distintos
-        FROM (SELECT DISTINCT {_ANSWERS} FROM r) GROUP BY 1) USING (ano_pesquisa)""",
+FROM (SELECT ano_pesquisa, COUNT(*) AS n, COUNT(DISTINCT id_respondente) AS distintos,
+        COUNT(*) FILTER (regiao_moradia = 'MIDDLE EAST') AS regioes_invalidas
+      FROM (SELECT * FROM r UNION ALL SELECT * FROM r WHERE id_respondente % 89 = 0) GROUP BY 1)""",
     ),
     "coerce_numeric": """SELECT o_orderpriority, COUNT(limpo) AS n_limpo, COUNT(espacos) AS n_espacos,
   COUNT(virgula) AS n_virgula, COUNT(prioridade) AS n_prioridade, COUNT(expoente) AS n_expoente,
@@ -632,6 +635,26 @@ FROM copies""",
         ),
     ),
     "extract_file_gender_share": CHART_SQL["gender_share_stack"],
+    **{
+        f"extract_file_{extract}": EXTRACT_SQL[query]
+        for extract, query in {
+            "kpis": "extract_kpis",
+            "diversidade": "extract_gender_rollup",
+            "mercado": "extract_title_rollup",
+            "remuneracao_cargo": "extract_pay_by_title_year",
+            "remuneracao_senioridade": "extract_pay_by_seniority",
+            "tecnologias": "extract_technologies",
+            "ia_geral": "extract_ai_overall",
+            "trabalho": "extract_work_model_rollup",
+        }.items()
+    },
 }
+STORAGE_SQL["lake_audit"] = STORAGE_SQL["kpi_conform_audit"]
+
+# The raw files of a whole run hold some respondents twice.
+_ONCE = RESPONDENTS.replace("r AS (", "once AS (", 1)
+_TWICE = f"""{_ONCE},
+r AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE id_respondente % 97 = 0)"""
+STORED_SQL = {f"stored_{name}": sql.replace(RESPONDENTS, _TWICE, 1) for name, sql in {**KPI_SQL, **EXTRACT_SQL}.items()}
 
-ORACLE = {**GOLD_SQL, **KPI_SQL, **EXTRACT_SQL, **CHART_SQL, **OPERATOR_SQL, **STORAGE_SQL}
+ORACLE = {**GOLD_SQL, **KPI_SQL, **EXTRACT_SQL, **CHART_SQL, **OPERATOR_SQL, **STORAGE_SQL, **STORED_SQL}

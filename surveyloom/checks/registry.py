@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,30 +85,38 @@ GOLD_QUERIES = {
     "region_work": _gold("gold_regiao_trabalho"),
 }
 
-NAMED_QUERIES = {
-    "kpi_annual_summary": _kpi("annual_summary"),
-    "kpi_market_by_title_min30": _kpi("market_by_title"),
-    "kpi_pay_by_seniority_min30": _kpi("pay_by_seniority"),
-    "kpi_pay_by_title_year_min30": _kpi("pay_by_title"),
-    "kpi_diversity_min30": _kpi("diversity"),
-    "kpi_technology_overall": _kpi("technology_overall"),
-    "kpi_technology_by_title_year_min30": _kpi("technology_by_title"),
-    "kpi_ai_overall": _kpi("ai_overall"),
-    "kpi_ai_by_seniority_min30": _kpi("ai_by_seniority"),
-    "kpi_region_work_min30": _kpi("region_work_model"),
+# Registered name -> KPI query, and registered name -> extract.
+KPI_NAMES = {
+    "kpi_annual_summary": "annual_summary",
+    "kpi_market_by_title_min30": "market_by_title",
+    "kpi_pay_by_seniority_min30": "pay_by_seniority",
+    "kpi_pay_by_title_year_min30": "pay_by_title",
+    "kpi_diversity_min30": "diversity",
+    "kpi_technology_overall": "technology_overall",
+    "kpi_technology_by_title_year_min30": "technology_by_title",
+    "kpi_ai_overall": "ai_overall",
+    "kpi_ai_by_seniority_min30": "ai_by_seniority",
+    "kpi_region_work_min30": "region_work_model",
 }
+EXTRACT_NAMES = {
+    "extract_kpis": "kpis",
+    "extract_gender_rollup": "diversidade",
+    "extract_title_rollup": "mercado",
+    "extract_pay_by_title_year": "remuneracao_cargo",
+    "extract_pay_by_seniority": "remuneracao_senioridade",
+    "extract_technologies": "tecnologias",
+    "extract_ai_overall": "ia_geral",
+    "extract_ai_by_seniority": "ia_senioridade",
+    "extract_work_model_rollup": "trabalho",
+    "extract_region_model_weighted_pay": "regiao_trabalho",
+}
+WEIGHTED = "extract_region_model_weighted_pay"
+
+NAMED_QUERIES = {registered: _kpi(name) for registered, name in KPI_NAMES.items()}
 
 EXTRACT_QUERIES = {
-    "extract_kpis": _extract("kpis"),
-    "extract_gender_rollup": _extract("diversidade"),
-    "extract_title_rollup": _extract("mercado"),
-    "extract_pay_by_title_year": _extract("remuneracao_cargo"),
-    "extract_pay_by_seniority": _extract("remuneracao_senioridade"),
-    "extract_technologies": _extract("tecnologias"),
-    "extract_ai_overall": _extract("ia_geral"),
-    "extract_ai_by_seniority": _extract("ia_senioridade"),
-    "extract_work_model_rollup": _extract("trabalho"),
-    "extract_region_model_weighted_pay": _rounded(_extract("regiao_trabalho"), "salario_medio_aproximado"),
+    **{registered: _extract(name) for registered, name in EXTRACT_NAMES.items()},
+    WEIGHTED: _rounded(_extract("regiao_trabalho"), "salario_medio_aproximado"),
 }
 
 CHART_QUERIES = {
@@ -117,6 +126,7 @@ CHART_QUERIES = {
 
 # --- single operators ------------------------------------------------------------------------
 
+PLANTED = 89
 IDENTITY = ["l_suppkey", "l_quantity", "l_discount", "l_returnflag"]
 
 
@@ -170,8 +180,14 @@ def excess_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_profile(load(spark, sf_dir, "lineitem"), IDENTITY)
 
 
+def excess_duplicates_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole lines, of which some were planted twice."""
+    lines = load(spark, sf_dir, "lineitem")
+    return duplicate_profile(lines.unionByName(lines.filter(f"l_orderkey % {PLANTED} = 0")), keys=["l_returnflag"])
+
+
 def excess_duplicates_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A wide identity (all answers), grouped as a digest."""
+    """A wide identity: all answers."""
     answers = respondents(spark, sf_dir).drop("id_respondente")
     return duplicate_profile(answers, keys=["ano_pesquisa"])
 
@@ -181,9 +197,10 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conforming audit with one region declared invalid."""
-    silver = respondents(spark, sf_dir)
-    profile = duplicate_profile(silver.drop("id_respondente"), keys=["ano_pesquisa"])
+    """The conforming audit with one region declared invalid, of respondents some of whom answered twice."""
+    once = respondents(spark, sf_dir)
+    silver = once.unionByName(once.filter(f"id_respondente % {PLANTED} = 0"))
+    profile = duplicate_profile(silver.select("ano_pesquisa", "id_respondente"), keys=["ano_pesquisa"])
     return audit.conform_audit(profile, silver, REGIONS[:4], SENIORITIES)
 
 
@@ -261,7 +278,7 @@ def kpi_conform_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conformed and aggregate tables, stored in the catalog and listed with their stored rows."""
-    database = "surveyloom_check"
+    database = f"surveyloom_{uuid4().hex[:12]}"
     tables = lifecycle.store_gold(
         spark, respondents(spark, sf_dir), database, fresh_folder(spark, "lake"), FIXTURE_SETTINGS
     )
@@ -270,6 +287,47 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory(spark, database).select(F.col("tableName").alias("tabela")).join(rows, "tabela")
 
 
+_LAKES: dict[tuple[str, str], Frames] = {}
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> Frames:
+    """The published tables of one whole run from raw files, built once for each session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        database, location = f"surveyloom_{uuid4().hex[:12]}", fresh_folder(spark, "lake")
+        editions = write_editions(spark, sf_dir)
+        _LAKES[key] = lifecycle.build_lake(spark, editions, database, location, REGIONS, FIXTURE_SETTINGS)
+    return _LAKES[key]
+
+
+def _stored_kpi(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return KPI_QUERIES[name](_lake(spark, sf_dir), FIXTURE_SETTINGS)
+
+    return run
+
+
+def _stored_extract(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build_extracts(_lake(spark, sf_dir), FIXTURE_SETTINGS)[name]
+
+    return run
+
+
+def _extract_file(name: str) -> Query:
+    """An extract kept as a CSV file and read back with all its columns."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = fresh_folder(spark, "extracts")
+        extract = build_extracts(_tables(spark, sf_dir), FIXTURE_SETTINGS, ordered=False)[name]
+        extract.hint("rebalance").write.option("header", "true").csv(f"{folder}/{EXTRACT_FILES[name][0]}")
+        return read_extract_files(spark, folder)[name].select(
+            *[F.col(c).try_cast(kind).alias(c) for c, kind in extract.dtypes]
+        )
+
+    return run
+
+
 def extract_file_gender_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A chart dataset from an extract that was kept as a CSV file."""
     folder = fresh_folder(spark, "extracts")
@@ -288,6 +346,7 @@ OPERATOR_QUERIES = {
     "region_model_pivot": region_model_pivot,
     "survey_years": survey_years,
     "excess_duplicates": excess_duplicates,
+    "excess_duplicates_all_columns": excess_duplicates_all_columns,
     "excess_duplicates_by_year": excess_duplicates_by_year,
     "repeated_lines": repeated_lines,
     "quality_audit": quality_audit,
@@ -302,6 +361,16 @@ STORAGE_QUERIES = {
     "kpi_conform_audit": kpi_conform_audit,
     "catalog_tables": catalog_tables,
     "extract_file_gender_share": extract_file_gender_share,
+    **{f"extract_file_{name}": _extract_file(name) for name in EXTRACT_FILES},
+    "lake_audit": _stored_kpi("conform_audit"),
+}
+
+# Named queries on the published tables of a whole run. Its raw files hold some respondents twice, so the rows differ from those
+# of the queries on the respondents.
+STORED_QUERIES = {
+    **{f"stored_{registered}": _stored_kpi(name) for registered, name in KPI_NAMES.items()},
+    **{f"stored_{registered}": _stored_extract(name) for registered, name in EXTRACT_NAMES.items()},
+    f"stored_{WEIGHTED}": _rounded(_stored_extract("regiao_trabalho"), "salario_medio_aproximado"),
 }
 
 QUERIES: dict[str, Query] = {
@@ -311,4 +380,5 @@ QUERIES: dict[str, Query] = {
     **CHART_QUERIES,
     **OPERATOR_QUERIES,
     **STORAGE_QUERIES,
+    **STORED_QUERIES,
 }

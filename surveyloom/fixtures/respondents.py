@@ -58,13 +58,20 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def line_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with lines: "any line meets the condition", for each flag.
 
-    The flags of an order travel through the shuffle as the bits of one int. Lines of one order
-    combine before the shuffle.
+    The flags that read one line column travel through the shuffle as the bits of one int. Lines of one order combine before
+    the shuffle, and a line column none of whose flags is asked for is neither read nor shuffled.
     """
-    bits = " | ".join(f"if({test}, {1 << bit}, 0)" for bit, test in enumerate(LINE_FLAGS.values()))
-    packed = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.expr(f"bit_or({bits}) AS bits"))
-    return packed.selectExpr(
-        "l_orderkey", *[f"(bits >> {bit}) & 1 AS {flag}" for bit, flag in enumerate(LINE_FLAGS)]
+    sources: dict[str, list[str]] = {}
+    for flag, test in LINE_FLAGS.items():
+        sources.setdefault(test.split()[0], []).append(flag)
+    packed = [
+        "bit_or(" + " | ".join(f"if({LINE_FLAGS[flag]}, {1 << bit}, 0)" for bit, flag in enumerate(flags)) + f") AS {column}"
+        for column, flags in sources.items()
+    ]
+    places = {flag: (column, bit) for column, flags in sources.items() for bit, flag in enumerate(flags)}
+    rows = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*[F.expr(bits) for bits in packed])
+    return rows.selectExpr(
+        "l_orderkey", *[f"({places[flag][0]} >> {places[flag][1]}) & 1 AS {flag}" for flag in LINE_FLAGS]
     )
 
 

@@ -1,7 +1,7 @@
 from surveyloom.functions.columns import quoted
 from surveyloom.functions.labels import money_label, percent_label, pt_count, pt_number
 from surveyloom.functions.measures import answered, mean_2dp, mentions, percent, weighted_mean
-from surveyloom.functions.numbers import coerce_numbers, to_number
+from surveyloom.functions.numbers import coerce_numbers, to_number, whole_number
 
 __all__ = [
     "answered",
@@ -16,4 +16,5 @@ __all__ = [
     "quoted",
     "to_number",
     "weighted_mean",
+    "whole_number",
 ]

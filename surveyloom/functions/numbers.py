@@ -18,6 +18,13 @@ def to_number(text: Column) -> Column:
     return F.when(text.rlike(READABLE), text.try_cast("double"))
 
 
+def whole_number(text: Column) -> Column:
+    """Text to a whole number, exactly: digits of any length that fit, or a number without a fraction (`1.0`, `1e3`)."""
+    number = to_number(text)
+    exact = (number == F.floor(number)) & (F.abs(number) < 2.0**53)
+    return F.coalesce(text.try_cast("bigint"), F.when(exact, number.try_cast("bigint")))
+
+
 def coerce_numbers(frame: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Turn the text columns among those named into doubles; names the frame lacks are ignored."""
     texts = [

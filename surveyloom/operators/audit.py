@@ -7,6 +7,9 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyloom.operators.duplicates import copies
+
+PROCESSED_AT = "processado_em"
 PROFILE_SCHEMA = "ano_pesquisa int, registros bigint, colunas bigint, duplicados_excedentes bigint"
 METRICS = ("registros", "colunas", "duplicados_excedentes")
 
@@ -15,19 +18,25 @@ class ProfileMismatch(ValueError):
     """An edition differs from its expected rows, columns or duplicates."""
 
 
+class LostRows(ValueError):
+    """Conforming lost, added or merged rows of an edition."""
+
+
 class EmptyTable(ValueError):
     """A table that must have rows has none."""
 
 
 def expected_profiles(spark: SparkSession, profiles: Mapping[int, Mapping[str, int]]) -> DataFrame:
-    """The declared shape of each edition: one row per edition, metadata only."""
-    rows = [(year, *[profiles[year][metric] for metric in METRICS]) for year in sorted(profiles)]
+    """The declared shape of each edition: one row per edition, metadata only. A metric that is not declared is NULL."""
+    rows = [(year, *[profiles[year].get(metric) for metric in METRICS]) for year in sorted(profiles)]
     return spark.createDataFrame(rows, PROFILE_SCHEMA)
 
 
 def compare_profiles(found: DataFrame, expected: DataFrame) -> DataFrame:
-    """One row per edition and metric. An edition on one side only does not match."""
-    wanted = expected.select("ano_pesquisa", *[F.col(m).alias(f"esperado_{m}") for m in METRICS])
+    """One row per edition and declared metric. An edition on one side only does not match in any metric."""
+    wanted = expected.select(
+        "ano_pesquisa", F.lit(True).alias("declarada"), *[F.col(m).alias(f"esperado_{m}") for m in METRICS]
+    )
     both = found.select("ano_pesquisa", *METRICS).join(wanted, "ano_pesquisa", "full_outer")
     checks = [
         F.struct(
@@ -37,19 +46,25 @@ def compare_profiles(found: DataFrame, expected: DataFrame) -> DataFrame:
         )
         for metric in METRICS
     ]
-    rows = both.select("ano_pesquisa", F.inline(F.array(*checks)))
+    rows = both.select("ano_pesquisa", "declarada", F.inline(F.array(*checks)))
+    rows = rows.filter(F.col("declarada").isNull() | F.col("esperado").isNotNull()).drop("declarada")
     return rows.withColumn("confere", F.coalesce(F.col("obtido") == F.col("esperado"), F.lit(False)))
 
 
-def raise_on_mismatch(comparison: DataFrame, shown: int = 20) -> None:
-    wrong = comparison.filter(~F.col("confere")).orderBy("ano_pesquisa", "metrica").limit(shown).collect()
+def raise_on_mismatch(comparison: DataFrame) -> None:
+    """The message names every mismatch; there are at most three for each edition."""
+    wrong = comparison.filter(~F.col("confere")).orderBy("ano_pesquisa", "metrica").collect()
     if wrong:
         found = [(r.ano_pesquisa, r.metrica, r.obtido, r.esperado) for r in wrong]
         raise ProfileMismatch(f"(edition, metric, found, expected): {found}")
 
 
+def _copies_if(condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col("copies"))), F.lit(0))
+
+
 def _outside(column: str, valid: Sequence[str]) -> Column:
-    return F.count_if(F.col(column).isNotNull() & ~F.col(column).isin(*valid))
+    return _copies_if(F.col(column).isNotNull() & ~F.col(column).isin(*valid))
 
 
 def conform_audit(
@@ -60,12 +75,13 @@ def conform_audit(
 ) -> DataFrame:
     """Rows in, out and lost per edition, with invalid values; one pass over the conformed rows.
 
-    Duplicates are kept, only counted. ERRO: rows were lost or appeared; ALERTA: all rows are
-    there, but some have no id or an invalid value.
+    Duplicates are kept, and counted again on the conformed rows. ERRO: rows were lost or appeared, or fewer duplicates than
+    raw ones are left; ALERTA: all rows are there, but some have become equal, have no id or an invalid value.
     """
-    out = silver.groupBy("ano_pesquisa").agg(
-        F.count("*").alias("saida"),
-        F.count_if(F.col("id_respondente").isNull()).alias("ids_nulos"),
+    out = copies(silver.drop(PROCESSED_AT), keys=["ano_pesquisa"]).groupBy("ano_pesquisa").agg(
+        F.sum("copies").alias("saida"),
+        F.sum(F.col("copies") - 1).alias("preservadas"),
+        _copies_if(F.col("id_respondente").isNull()).alias("ids_nulos"),
         _outside("regiao_moradia", regions).alias("regioes_invalidas"),
         _outside("senioridade", seniorities).alias("senioridades_invalidas"),
     )
@@ -77,12 +93,22 @@ def conform_audit(
         F.lit("bronze_para_silver").alias("etapa"),
         F.coalesce("registros", zero).alias("registros_entrada"),
         F.coalesce("saida", zero).alias("registros_saida"),
-        F.coalesce("duplicados_excedentes", zero).alias("duplicidades_excedentes_preservadas"),
+        F.coalesce("preservadas", zero).alias("duplicidades_excedentes_preservadas"),
+        F.coalesce("duplicados_excedentes", zero).alias("esperadas"),
         *[F.coalesce(name, zero).alias(name) for name in counts],
     )
     lost = F.col("registros_entrada") - F.col("registros_saida")
-    status = F.when(F.col("registros_descartados") != 0, "ERRO").when(invalid > 0, "ALERTA").otherwise("OK")
-    return audited.withColumn("registros_descartados", lost).withColumn("status", status)
+    kept = F.col("duplicidades_excedentes_preservadas") - F.col("esperadas")
+    wrong = (F.col("registros_descartados") != 0) | (kept < 0)
+    status = F.when(wrong, "ERRO").when((invalid > 0) | (kept > 0), "ALERTA").otherwise("OK")
+    return audited.withColumn("registros_descartados", lost).withColumn("status", status).drop("esperadas")
+
+
+def raise_on_lost_rows(audited: DataFrame) -> None:
+    """One row per edition goes to the driver."""
+    wrong = [r.ano for r in audited.filter("status = 'ERRO'").select("ano").orderBy("ano").collect()]
+    if wrong:
+        raise LostRows(f"Editions with lost rows: {wrong}")
 
 
 def assert_not_empty(tables: Mapping[str, DataFrame], names: Iterable[str]) -> None:

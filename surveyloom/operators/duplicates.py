@@ -4,36 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions import quoted
 
-# Rows with more columns than this are shuffled as a digest instead of in full.
-WIDE_ROW = 16
-
-
-def row_text(frame: DataFrame, columns: Sequence[str]) -> Column:
-    """The row as text. NULL fields are written out: (a, NULL) and (NULL, a) differ."""
-    fields = F.struct(*[quoted(name).alias(name) for name in columns])
-    return F.to_json(fields, {"ignoreNullFields": "false"})
-
-
-def row_identity(frame: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:
-    """Grouping columns under which two rows are equal exactly when all their fields are.
+def copies(frame: DataFrame, columns: Sequence[str] | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct row, with its number of copies. Copies are combined before the shuffle.
 
-    A wide row is shuffled as the SHA-256 of its text, 32 bytes in place of kilobytes.
+    Rows are grouped by their fields, whatever their number: two rows are equal exactly when all fields are. NULL equals NULL,
+    NaN equals NaN, 0.0 equals -0.0, and timestamps count to the microsecond.
     """
-    columns = list(columns or frame.columns)
-    if len(columns) <= WIDE_ROW:
-        return [quoted(name) for name in columns]
-    return [F.unhex(F.sha2(row_text(frame, columns), 256)).alias("row_digest")]
-
-
-def copies(frame: DataFrame, columns: Sequence[str] | None = None, keys: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct row, with its number of copies. Copies are combined before the shuffle."""
     columns = [name for name in columns or frame.columns if name not in keys]
-    return frame.groupBy(*keys, *row_identity(frame, columns)).agg(F.count("*").alias("copies"))
+    return frame.groupBy(*keys, *[quoted(name) for name in columns]).agg(F.count("*").alias("copies"))
 
 
 def duplicate_profile(frame: DataFrame, columns: Sequence[str] | None = None, keys: Sequence[str] = ()) -> DataFrame:

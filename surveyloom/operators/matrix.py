@@ -21,8 +21,8 @@ def pivot_mean(cells: DataFrame, index: str, column: str, values: Sequence[str],
 
 
 def row_share(measure: str, index: str) -> Column:
-    """Share of the index row's total, in percent."""
-    return F.col(measure) / window_total(measure, [index]) * 100
+    """Share of the index row's total, in percent; NULL if the total is 0."""
+    return F.col(measure) / F.nullif(window_total(measure, [index]), F.lit(0)) * 100
 
 
 def total_before(measure: str, index: str, order: Sequence[str]) -> Column:

@@ -13,14 +13,14 @@ def latest_row(frame: DataFrame, year: str = "ano_pesquisa") -> DataFrame:
 
 
 def latest_cells(cells: DataFrame, measure: str, year: str = "ano_pesquisa") -> DataFrame:
-    """All cells of the greatest year that has any answer.
+    """All cells of the greatest year.
 
     The one-row maximum is joined back and not used as a filter: a filter would be pushed into
     the scan, and the rows would be read once for the maximum and again for the cells. The
-    maximum reads ``measure`` too, so that both sides keep the same columns and share a shuffle.
+    maximum carries ``measure`` along, so that both sides keep the same columns and share a shuffle.
     """
-    newest = cells.agg(F.max(F.when(F.col(measure) > 0, F.col(year))).alias(year))
-    return cells.join(newest, year)
+    newest = cells.agg(F.max(F.struct(year, measure)).alias("newest"))
+    return cells.join(newest.select(F.col(f"newest.{year}").alias(year)), year)
 
 
 def top_k(cells: DataFrame, measure: str, name: str, k: int) -> DataFrame:

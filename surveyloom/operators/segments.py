@@ -21,7 +21,7 @@ def stack_segments(
 ) -> DataFrame:
     """One row per (row, segment the row belongs to).
 
-    Catalyst plans this as a single Expand over a single scan. A row without a value in a
+    Catalyst plans this as a single Expand over a single scan, and one segment as a projection. A row without a value in a
     segment does not belong to it and goes before it reaches any aggregate.
     """
     clash = set(segments) & set(carry)
@@ -31,7 +31,11 @@ def stack_segments(
         (F.lit(EVERYONE) if column is None else F.col(column)).alias(label)
         for label, column in segments.items()
     ]
-    stacked = frame.select(*carry, *values).unpivot(list(carry), list(segments), type_name, value_name)
+    if len(segments) == 1:
+        label = next(iter(segments))
+        stacked = frame.select(*carry, F.lit(label).alias(type_name), values[0].alias(value_name))
+    else:
+        stacked = frame.select(*carry, *values).unpivot(list(carry), list(segments), type_name, value_name)
     return stacked.filter(F.col(value_name).isNotNull())
 
 

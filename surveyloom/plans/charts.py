@@ -71,7 +71,7 @@ def _share_stack(frame: DataFrame, category: str, order: tuple[str, ...], label_
     drawn = counts if others else counts.filter(F.col(category).isin(*order))
     below = total_before("respondentes", YEAR, ["ordem", category])
     return (
-        drawn.withColumn("base", below / F.col("total_ano") * 100)
+        drawn.withColumn("base", below / F.nullif(F.col("total_ano"), F.lit(0)) * 100)
         .select(
             _year(),
             category,
@@ -98,16 +98,12 @@ def work_model_share(data: Extracts, settings: Settings = Settings()) -> DataFra
 
 
 def market_top(data: Extracts, settings: Settings = Settings()) -> DataFrame:
-    """Largest titles of the latest edition, with their share of all its titles."""
+    """Largest titles of the latest edition, with their share of all its respondents; a NULL title counts, but is not drawn."""
     frame = coerce_numbers(data["mercado"], [YEAR, "respondentes"])
-    titles = (
-        known(frame, "cargo_padronizado")
-        .groupBy(YEAR, "cargo_padronizado")
-        .agg(F.sum("respondentes").alias("respondentes"))
-    )
+    titles = frame.groupBy(YEAR, "cargo_padronizado").agg(F.sum("respondentes").alias("respondentes"))
     newest = latest_cells(titles, "respondentes").withColumn("total_ano", window_total("respondentes", [YEAR]))
-    share = F.col("respondentes") / F.col("total_ano") * 100
-    labelled = newest.select(
+    share = F.col("respondentes") / F.nullif(F.col("total_ano"), F.lit(0)) * 100
+    labelled = known(newest, "cargo_padronizado").select(
         _year(),
         "cargo_padronizado",
         "respondentes",

@@ -14,14 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions import weighted_mean
-from surveyloom.operators.selection import ascending, descending, in_segment, known
-from surveyloom.plans.frames import Frames
+from surveyloom.operators.selection import ascending, descending, known
+from surveyloom.plans.frames import Frames, one_segment
 from surveyloom.plans.kpi_queries import Tables
 from surveyloom.vocabulary import EVERYONE, Settings
 
 
-def _overall(table: DataFrame) -> DataFrame:
-    return in_segment(table, "geral").filter(F.col("segmento_valor") == EVERYONE)
+def _overall(tables: Tables, name: str) -> DataFrame:
+    return one_segment(tables, name, "geral").filter(F.col("segmento_valor") == EVERYONE)
 
 
 def _rollup(cells: DataFrame, *keys: str) -> DataFrame:
@@ -41,7 +41,7 @@ def market(tables: Tables, settings: Settings = Settings()) -> DataFrame:
 
 
 def pay_by_title(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    cells = in_segment(tables["gold_remuneracao"], "cargo", "dimensao_tipo")
+    cells = one_segment(tables, "gold_remuneracao", "cargo", "dimensao_tipo")
     return cells.filter(F.col("ano_pesquisa") == settings.focus_year).select(
         "ano_pesquisa",
         F.col("dimensao_valor").alias("cargo_padronizado"),
@@ -51,7 +51,7 @@ def pay_by_title(tables: Tables, settings: Settings = Settings()) -> DataFrame:
 
 
 def pay_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    return in_segment(tables["gold_remuneracao"], "senioridade", "dimensao_tipo").select(
+    return one_segment(tables, "gold_remuneracao", "senioridade", "dimensao_tipo").select(
         "ano_pesquisa",
         F.col("dimensao_valor").alias("senioridade"),
         "respondentes_faixa_valida",
@@ -62,17 +62,17 @@ def pay_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFra
 
 
 def technologies(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    return _overall(tables["gold_tecnologias"]).select(
+    return _overall(tables, "gold_tecnologias").select(
         "ano_pesquisa", "tecnologia", "respondentes_elegiveis", "adotantes", "percentual_adocao"
     )
 
 
 def ai_overall(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    return _overall(tables["gold_inteligencia_artificial"]).drop("segmento_tipo", "segmento_valor")
+    return _overall(tables, "gold_inteligencia_artificial").drop("segmento_tipo", "segmento_valor")
 
 
 def ai_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    return in_segment(tables["gold_inteligencia_artificial"], "senioridade").select(
+    return one_segment(tables, "gold_inteligencia_artificial", "senioridade").select(
         "ano_pesquisa",
         F.col("segmento_valor").alias("senioridade"),
         "respondentes_validos",

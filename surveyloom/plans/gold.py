@@ -241,5 +241,20 @@ GOLD_BUILDERS = {
 }
 
 
+# Tables of several segmentations, built for one of them: the others would be expanded and thrown away.
+GOLD_SEGMENTS = {
+    "gold_remuneracao": lambda silver, settings, label: pay_by_dimension(silver, {label: PAY_SEGMENTS[label]}),
+    "gold_tecnologias": lambda silver, settings, label: technology_adoption(
+        silver, segments={label: TECHNOLOGY_SEGMENTS[label]}
+    ),
+    "gold_inteligencia_artificial": lambda silver, settings, label: ai_adoption(
+        silver, settings, {label: AI_SEGMENTS[label]}
+    ),
+}
+
+
 def build_gold(silver: DataFrame, settings: Settings = Settings()) -> Frames:
-    return Frames({name: partial(build, silver, settings) for name, build in GOLD_BUILDERS.items()})
+    return Frames(
+        {name: partial(build, silver, settings) for name, build in GOLD_BUILDERS.items()},
+        {name: partial(build, silver, settings) for name, build in GOLD_SEGMENTS.items()},
+    )

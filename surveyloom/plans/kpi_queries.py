@@ -10,7 +10,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.operators.selection import ascending, descending, in_segment, suppress_small
+from surveyloom.operators.selection import ascending, descending, suppress_small
+from surveyloom.plans.frames import one_segment
 from surveyloom.vocabulary import AUDIT_TABLE, Settings
 
 Tables = Mapping[str, DataFrame]
@@ -48,7 +49,7 @@ def market_by_title(tables: Tables, settings: Settings = Settings()) -> DataFram
 
 
 def pay_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    cells = in_segment(tables["gold_remuneracao"], "senioridade", "dimensao_tipo")
+    cells = one_segment(tables, "gold_remuneracao", "senioridade", "dimensao_tipo")
     return (
         suppress_small(cells, "respondentes_ponto_medio", settings.min_cell)
         .select(
@@ -64,7 +65,7 @@ def pay_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFra
 
 def pay_by_title(tables: Tables, settings: Settings = Settings()) -> DataFrame:
     """Pay by title in the focus year."""
-    cells = in_segment(tables["gold_remuneracao"], "cargo", "dimensao_tipo")
+    cells = one_segment(tables, "gold_remuneracao", "cargo", "dimensao_tipo")
     in_focus = cells.filter(F.col("ano_pesquisa") == settings.focus_year)
     return (
         suppress_small(in_focus, "respondentes_ponto_medio", settings.min_cell)
@@ -100,10 +101,9 @@ def diversity(tables: Tables, settings: Settings = Settings()) -> DataFrame:
 
 
 def technology_overall(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    """A technology that an edition did not ask about as use has nobody eligible and is left out."""
-    cells = in_segment(tables["gold_tecnologias"], "geral")
+    """Every technology of every edition; one that an edition did not ask about has nobody eligible and a NULL share."""
     return (
-        suppress_small(cells, "respondentes_elegiveis", 1)
+        one_segment(tables, "gold_tecnologias", "geral")
         .select(
             "ano_pesquisa",
             "tecnologia",
@@ -117,7 +117,7 @@ def technology_overall(tables: Tables, settings: Settings = Settings()) -> DataF
 
 def technology_by_title(tables: Tables, settings: Settings = Settings()) -> DataFrame:
     """Technology adoption by title in the focus year."""
-    cells = in_segment(tables["gold_tecnologias"], "cargo")
+    cells = one_segment(tables, "gold_tecnologias", "cargo")
     in_focus = cells.filter(F.col("ano_pesquisa") == settings.focus_year)
     return (
         suppress_small(in_focus, "respondentes_elegiveis", settings.min_cell)
@@ -134,7 +134,7 @@ def technology_by_title(tables: Tables, settings: Settings = Settings()) -> Data
 
 def ai_overall(tables: Tables, settings: Settings = Settings()) -> DataFrame:
     return (
-        in_segment(tables["gold_inteligencia_artificial"], "geral")
+        one_segment(tables, "gold_inteligencia_artificial", "geral")
         .select(
             "ano_pesquisa",
             F.col("respondentes_validos").alias("n"),
@@ -150,7 +150,7 @@ def ai_overall(tables: Tables, settings: Settings = Settings()) -> DataFrame:
 
 
 def ai_by_seniority(tables: Tables, settings: Settings = Settings()) -> DataFrame:
-    cells = in_segment(tables["gold_inteligencia_artificial"], "senioridade")
+    cells = one_segment(tables, "gold_inteligencia_artificial", "senioridade")
     return (
         suppress_small(cells, "respondentes_validos", settings.min_cell)
         .select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +16,14 @@ from surveyloom.operators.audit import (
     compare_profiles,
     conform_audit,
     expected_profiles,
+    raise_on_lost_rows,
     raise_on_mismatch,
 )
 from surveyloom.operators.duplicates import duplicate_profile
 from surveyloom.plans.frames import Frames
 from surveyloom.plans.gold import GOLD_BUILDERS, build_gold
 from surveyloom.sinks.audit_log import append_run, new_run_id
-from surveyloom.sinks.catalog import ensure_database, read_tables, write_table
+from surveyloom.sinks.catalog import ensure_database, publish, read_tables, write_files
 from surveyloom.sources.conform import Rule, conform
 from surveyloom.sources.raw_csv import check_width, read_raw_csv
 from surveyloom.vocabulary import AUDIT_TABLE, SENIORITIES, SILVER_TABLE, Settings
@@ -40,7 +41,7 @@ class Edition:
 
     @property
     def width(self) -> int | None:
-        return self.profile["colunas"] if self.profile else None
+        return self.profile.get("colunas") if self.profile else None
 
     @property
     def file(self) -> str:
@@ -93,7 +94,7 @@ def stamp_audit(profile: DataFrame, comparison: DataFrame, run_id: str, at: date
     matched = comparison.groupBy("ano_pesquisa").agg(F.every("confere").alias("confere"))
     return profile.join(matched, "ano_pesquisa", "left").select(
         *profile.columns,
-        F.when(F.col("confere"), "OK").otherwise("DIVERGENTE").alias("status"),
+        F.when(F.col("confere"), "OK").when(F.col("confere").isNull(), "SEM_PERFIL").otherwise("DIVERGENTE").alias("status"),
         F.lit(run_id).alias("id_execucao"),
         F.lit(at).alias("data_hora_processamento"),
     )
@@ -111,11 +112,15 @@ def validate_editions(
     """
     at = datetime.now(timezone.utc)
     run_id = new_run_id(at)
-    if expected is None:
-        expected = expected_profiles(spark, {e.year: e.profile for e in editions if e.profile})
     profile = profile_editions(spark, editions)
-    append_run(stamp_audit(profile, compare_profiles(profile, expected), run_id, at), audit_path)
-    stored = spark.read.parquet(audit_path).filter(F.col("id_execucao") == run_id)
+    declared = {e.year: e.profile for e in editions if e.profile}
+    # An edition without a profile of its own is audited, but has nothing to be compared with.
+    compared = F.lit(True) if expected is not None else F.col("ano_pesquisa").isin(*declared)
+    if expected is None:
+        expected = expected_profiles(spark, declared)
+    comparison = compare_profiles(profile.filter(compared), expected)
+    append_run(stamp_audit(profile, comparison, run_id, at), audit_path)
+    stored = spark.read.parquet(audit_path).filter((F.col("id_execucao") == run_id) & compared)
     raise_on_mismatch(compare_profiles(stored.select("ano_pesquisa", *METRICS), expected))
     return run_id
 
@@ -130,6 +135,33 @@ def conform_editions(spark: SparkSession, editions: Sequence[Edition], processed
     )
 
 
+def stage_gold(silver: DataFrame, folder: str, settings: Settings = Settings(), rebalance: bool = True) -> Frames:
+    """Write the conformed rows by edition, then every aggregate table from the written rows; nothing is published.
+
+    The written rows are the restart point: a lost executor re-reads Parquet, not the raw text.
+    """
+    stored = write_files(silver, f"{folder}/silver", ["ano_pesquisa"], rebalance)
+    tables = {SILVER_TABLE: stored}
+    for name, frame in build_gold(stored, settings).items():
+        tables[name] = write_files(frame, f"{folder}/gold/{name}")
+    return Frames({name: partial(lambda table: table, table) for name, table in tables.items()})
+
+
+def publish_tables(spark: SparkSession, database: str, location: str, folder: str, audited: bool) -> Frames:
+    """Point the tables of a database at the files of one run."""
+    ensure_database(spark, database, location)
+    publish(spark, database, SILVER_TABLE, f"{folder}/silver", ["ano_pesquisa"])
+    for name in GOLD_BUILDERS:
+        publish(spark, database, name, f"{folder}/gold/{name}")
+    if audited:
+        publish(spark, database, AUDIT_TABLE, f"{folder}/audit")
+    return read_tables(spark, database, [SILVER_TABLE, *GOLD_BUILDERS, *[AUDIT_TABLE] * audited])
+
+
+def _run_folder(location: str) -> str:
+    return f"{location}/runs/{new_run_id(datetime.now(timezone.utc))}"
+
+
 def store_gold(
     spark: SparkSession,
     silver: DataFrame,
@@ -138,16 +170,10 @@ def store_gold(
     settings: Settings = Settings(),
     rebalance: bool = True,
 ) -> Frames:
-    """Store the conformed rows by edition, then every aggregate table from the stored rows.
-
-    The stored rows are the restart point: a lost executor re-reads Parquet, not the raw text.
-    """
-    ensure_database(spark, database, location)
-    write_table(silver, database, SILVER_TABLE, f"{location}/silver", ["ano_pesquisa"], rebalance)
-    stored = read_tables(spark, database, [SILVER_TABLE])[SILVER_TABLE]
-    for name, frame in build_gold(stored, settings).items():
-        write_table(frame, database, name, f"{location}/gold/{name}")
-    return read_tables(spark, database, [SILVER_TABLE, *GOLD_BUILDERS])
+    """Write and publish the conformed and aggregate tables."""
+    folder = _run_folder(location)
+    stage_gold(silver, folder, settings, rebalance)
+    return publish_tables(spark, database, location, folder, audited=False)
 
 
 def build_lake(
@@ -158,14 +184,18 @@ def build_lake(
     regions: Sequence[str],
     settings: Settings = Settings(),
 ) -> Frames:
-    """Raw editions to conformed, aggregate and audit tables; fails when an aggregate is empty."""
-    editions = store_raw(spark, editions, f"{location}/bronze")
+    """Raw editions to conformed, aggregate and audit tables.
+
+    Each run writes to a folder of its own. Only when no aggregate is empty and no edition has lost rows do the tables point at
+    it; a run that fails leaves the tables of the run before as they were.
+    """
+    folder = _run_folder(location)
+    editions = store_raw(spark, editions, f"{folder}/bronze")
     silver = conform_editions(spark, editions, datetime.now(timezone.utc))
     # Every task reads one edition, so the rows are already apart by edition.
-    store_gold(spark, silver, database, location, settings, rebalance=False)
-    names = [SILVER_TABLE, *GOLD_BUILDERS, AUDIT_TABLE]
-    tables = read_tables(spark, database, names)
-    audit = conform_audit(profile_editions(spark, editions), tables[SILVER_TABLE], regions, SENIORITIES)
-    write_table(audit, database, AUDIT_TABLE, f"{location}/audit")
-    assert_not_empty(tables, GOLD_BUILDERS)
-    return tables
+    staged = stage_gold(silver, folder, settings, rebalance=False)
+    audit = conform_audit(profile_editions(spark, editions), staged[SILVER_TABLE], regions, SENIORITIES)
+    audit = write_files(audit, f"{folder}/audit")
+    assert_not_empty(staged, GOLD_BUILDERS)
+    raise_on_lost_rows(audit)
+    return publish_tables(spark, database, location, folder, audited=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 
 def new_run_id(at: datetime) -> str:
-    return f"{at.astimezone(timezone.utc):%Y%m%dT%H%M%SZ}-{uuid4().hex[:8]}"
+    """Milliseconds of the start, so that runs sort by it, and a random part."""
+    return f"{int(at.timestamp() * 1000):015d}x{uuid4().hex}"
 
 
 def append_run(audit: DataFrame, path: str) -> None:
@@ -23,5 +24,6 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def preview(frame: DataFrame, *order: str, rows: int = 20) -> None:
-    """Print the first rows in order."""
+    """Print the first rows in order, and how many there are."""
+    print(f"{frame.count()} rows, of which at most {rows} are shown")
     frame.orderBy(*[F.asc_nulls_last(name) for name in order]).show(rows, truncate=False)

@@ -32,18 +32,32 @@ def write_table(
     partition_by: Sequence[str] = (),
     rebalance: bool = True,
 ) -> None:
-    """Overwrite an external Parquet table.
+    """Overwrite an external Parquet table: its files are written, then the table points at them.
 
     Rebalancing shuffles the output by size: a small aggregate ends in one file, a large
     partition in several, and no single task writes everything. Rows that already come one
     partition per task are written as they are, without a shuffle.
     """
+    write_files(frame, path, partition_by, rebalance)
+    publish(frame.sparkSession, database, table, path, partition_by)
+
+
+def write_files(frame: DataFrame, path: str, partition_by: Sequence[str] = (), rebalance: bool = True) -> DataFrame:
+    """Write the Parquet files of a table and read them back; nothing in the catalog changes."""
     if rebalance:
         frame = frame.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = frame.write.mode("overwrite").format("parquet").option("compression", "snappy")
+    frame.write.mode("overwrite").option("compression", "snappy").parquet(path, partitionBy=list(partition_by) or None)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def publish(spark: SparkSession, database: str, table: str, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Point an external table at files. The files it pointed at before stay where they are."""
+    name = _name(database, table)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.option("path", path).saveAsTable(_name(database, table))
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
 
 
 def read_tables(spark: SparkSession, database: str, names: Iterable[str]) -> Frames:

@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import quoted, to_number
+from surveyloom.functions import quoted, to_number, whole_number
 from surveyloom.vocabulary import SILVER_TYPES
 
 PROCESSED_AT = "processado_em"
@@ -59,10 +59,13 @@ class Code:
 
 @dataclass(frozen=True)
 class Number:
+    """A number; a whole one may be written with decimals."""
+
     source: str
 
     def column(self) -> Column:
-        return _text(self.source)
+        text = _text(self.source)
+        return F.coalesce(whole_number(text).cast("string"), text)
 
 
 @dataclass(frozen=True)

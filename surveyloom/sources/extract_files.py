@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from surveyloom.functions import quoted, to_number, whole_number
 from surveyloom.plans.frames import Frames
 
 # File and columns of each extract.
@@ -40,11 +41,22 @@ EXTRACT_FILES = {
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Columns are matched to the header by name; columns that no chart reads are skipped."""
-    raw = spark.read.options(header="true", inferSchema="false", quote='"', escape='"').csv(path)
-    fields = [field.strip().split(" ") for field in schema.split(",")]
-    present = [(name, kind) for name, kind in fields if name in raw.columns]
-    return raw.selectExpr(*[f"try_cast({name} AS {kind}) AS {name}" for name, kind in present])
+    """All columns of the file: those the charts read in their types, the others as text.
+
+    A whole number may be written with decimals (`123.0`), as a column with gaps often is.
+    """
+    raw = spark.read.options(header="true", inferSchema="false", enforceSchema="false", quote='"', escape='"').csv(path)
+    kinds = dict(field.strip().split(" ") for field in schema.split(","))
+
+    def typed(name: str) -> Column:
+        kind, text = kinds.get(name, "string"), quoted(name)
+        if kind == "string":
+            return text
+        number = to_number(text) if kind == "double" else whole_number(text)
+        return number.try_cast(kind).alias(name)
+
+    declared = [name for name in kinds if name in raw.columns]
+    return raw.select(*[typed(name) for name in [*declared, *[n for n in raw.columns if n not in kinds]]])
 
 
 def read_extract_files(spark: SparkSession, folder: str) -> Frames:

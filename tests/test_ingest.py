@@ -131,7 +131,7 @@ def test_conform_audit_status(spark):
     )
     rows = conform_audit({AUDIT_TABLE: audit.conform_audit(profile, silver, ["ASIA"], ["Pleno"])}).collect()
     assert [tuple(r) for r in rows] == [
-        (1, "bronze_para_silver", 2, 2, 0, 1, 0, 0, 0, "OK"),
+        (1, "bronze_para_silver", 2, 2, 0, 0, 0, 0, 0, "ERRO"),
         (2, "bronze_para_silver", 1, 1, 0, 0, 1, 1, 1, "ALERTA"),
         (3, "bronze_para_silver", 2, 1, 1, 0, 0, 0, 0, "ERRO"),
         (4, "bronze_para_silver", 1, 0, 1, 0, 0, 0, 0, "ERRO"),
@@ -176,6 +176,62 @@ def test_lake_from_raw_files(spark, editions, rows):
     assert again[SILVER_TABLE].count() == raw
 
 
+def test_a_failed_run_leaves_the_tables_as_they_were(spark, editions, monkeypatch):
+    location = fresh_folder(spark, "lake-fail")
+    lifecycle.build_lake(spark, editions[-2:], "lake_fail", location, REGIONS, FIXTURE_SETTINGS)
+    name = "gold_inteligencia_artificial"
+    before = spark.table(f"lake_fail.{name}").count()
+    with pytest.raises(audit.EmptyTable, match=name):
+        lifecycle.build_lake(spark, editions[:1], "lake_fail", location, REGIONS, FIXTURE_SETTINGS)
+    whole = lifecycle.conform_editions
+    monkeypatch.setattr(lifecycle, "conform_editions", lambda *args: whole(*args).filter("id_respondente % 50 <> 0"))
+    with pytest.raises(audit.LostRows, match="2000, 2001"):
+        lifecycle.build_lake(spark, editions[-2:], "lake_fail", location, REGIONS, FIXTURE_SETTINGS)
+    assert spark.table(f"lake_fail.{name}").count() == before > 0
+
+
+def test_a_lost_and_a_doubled_row_are_noticed(spark):
+    silver = spark.createDataFrame([(1, 1), (1, 1), (1, 3)], "ano_pesquisa int, id_respondente bigint")
+    silver = silver.selectExpr("*", "'ASIA' AS regiao_moradia", "'Pleno' AS senioridade")
+    profile = spark.createDataFrame([(1, 3, 0)], "ano_pesquisa int, registros bigint, duplicados_excedentes bigint")
+    assert audit.conform_audit(profile, silver, ["ASIA"], ["Pleno"]).first().status == "ALERTA"
+
+
+def test_files_of_a_folder_must_share_their_header(spark, tmp_path):
+    folder = tmp_path / "edition"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,y\n1,2\n")
+    (folder / "b.csv").write_text("y,x\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header|malformed"):
+        read_raw_csv(spark, str(folder)).collect()
+
+
+def test_whole_numbers_with_decimals(spark, tmp_path):
+    frame = spark.createDataFrame([("1.0",), ("9007199254740993",), ("1e3",), ("1.5",), ("x",), (None,)], "id string")
+    ids = [r.id_respondente for r in conform(frame, 2001, {"id_respondente": Number("id")}, AT).collect()]
+    assert ids == [1, 9007199254740993, 1000, None, None, None]
+    _file(tmp_path, "ano_pesquisa,genero,respondentes,extra\n2024.0,Feminino,123.0,kept\n", "diversidade_genero.csv")
+    assert read_extract_files(spark, str(tmp_path))["diversidade"].first()[:] == (2024, "Feminino", 123, "kept")
+
+
+def test_only_declared_metrics_are_compared(spark, editions, tmp_path):
+    found = spark.createDataFrame([(2022, 10, 3, 1)], audit.PROFILE_SCHEMA)
+    comparison = audit.compare_profiles(found, audit.expected_profiles(spark, {2022: {"colunas": 3}}))
+    assert [(r.metrica, r.confere) for r in comparison.collect()] == [("colunas", True)]
+    log = str(tmp_path / "log")
+    bare = lifecycle.Edition(2000, editions[-2].path, {}, None)
+    lifecycle.validate_editions(spark, [bare, editions[-1]], log)
+    assert {r.ano_pesquisa: r.status for r in read_runs(spark, log).collect()} == {2000: "SEM_PERFIL", 2001: "OK"}
+
+
+def test_every_mismatch_is_named(spark):
+    found = spark.createDataFrame([(2000 + i, 1, 1, 1) for i in range(9)], audit.PROFILE_SCHEMA)
+    wanted = spark.createDataFrame([(2000 + i, 2, 2, 2) for i in range(9)], audit.PROFILE_SCHEMA)
+    with pytest.raises(audit.ProfileMismatch) as error:
+        audit.raise_on_mismatch(audit.compare_profiles(found, wanted))
+    assert str(error.value).count("(20") == 27
+
+
 def test_silver_row_equals_its_raw_row(spark, editions):
     edition = next(e for e in editions if e.year == 1998)
     silver = conform(read_raw_csv(spark, edition.path), 1998, edition_rules(1998), AT)

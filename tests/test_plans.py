@@ -5,9 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_points
-from surveyloom.checks.registry import QUERIES, STORAGE_QUERIES
-
-QUERIES = {name: query for name, query in QUERIES.items() if name not in STORAGE_QUERIES}
+from surveyloom.checks.registry import QUERIES
 NO_FLAGS = (
     "market_structure",
     "pay_by_dimension",
@@ -47,6 +45,21 @@ def test_rows_are_read_once(name, spark, sf_dir):
     assert plan.count("FileScan parquet [o_") == 1
 
 
+@pytest.mark.parametrize("name", ["kpi_ai_overall", "pay_progression", "kpi_technology_overall", "extract_ai_by_seniority"])
+def test_one_segment_is_built_alone(name, spark, sf_dir):
+    plan = _plan(QUERIES[name](spark, sf_dir))
+    assert "Expand [" not in plan
+
+
+def test_only_the_wanted_line_columns_are_read(spark, sf_dir):
+    lines = {
+        name: re.search(r"FileScan parquet \[(l_[^\]]*)\]", _plan(QUERIES[name](spark, sf_dir))).group(1)
+        for name in ("region_work", "ai_access_mentions")
+    }
+    assert re.sub(r"#\d+L?", "", lines["region_work"]) == "l_orderkey,l_quantity"
+    assert "l_returnflag" not in lines["ai_access_mentions"] and "l_linenumber" not in lines["ai_access_mentions"]
+
+
 def test_matrix_median_reuses_the_cells(spark, sf_dir):
     frame = QUERIES["region_model_matrix"](spark, sf_dir)
     frame.collect()
