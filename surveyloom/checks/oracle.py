@@ -6,6 +6,8 @@ statement starts from the respondent table derived from the base tables.
 
 from __future__ import annotations
 
+from surveyloom.fixtures.respondents import VARIATIONS
+
 FOCUS = 2001
 AI_SINCE = 1996
 
@@ -657,4 +659,23 @@ _TWICE = f"""{_ONCE},
 r AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE id_respondente % 97 = 0)"""
 STORED_SQL = {f"stored_{name}": sql.replace(RESPONDENTS, _TWICE, 1) for name, sql in {**KPI_SQL, **EXTRACT_SQL}.items()}
 
-ORACLE = {**GOLD_SQL, **KPI_SQL, **EXTRACT_SQL, **CHART_SQL, **OPERATOR_SQL, **STORAGE_SQL, **STORED_SQL}
+
+# The respondents with the answers of the varied fixture.
+_REPLACED = ", ".join(f"{sql} AS {name}" for name, sql in VARIATIONS.items())
+_VARIED = f"""{_ONCE},
+r AS (SELECT * REPLACE ({_REPLACED}) FROM once)"""
+VARIED_SQL = {
+    f"varied_{name}": {**KPI_SQL, **CHART_SQL}[name].replace(RESPONDENTS, _VARIED, 1)
+    for name in (
+        "kpi_market_by_title_min30",
+        "kpi_pay_by_title_year_min30",
+        "kpi_diversity_min30",
+        "kpi_technology_by_title_year_min30",
+        "gender_share_stack",
+        "market_top8",
+        "pay_top8_min50",
+        "work_model_share",
+    )
+}
+
+ORACLE = {**GOLD_SQL, **KPI_SQL, **EXTRACT_SQL, **CHART_SQL, **OPERATOR_SQL, **STORAGE_SQL, **STORED_SQL, **VARIED_SQL}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.fixtures.editions import REGIONS, WIDTH, raw_rows, write_editions
-from surveyloom.fixtures.respondents import FIXTURE_SETTINGS, load, respondents
+from surveyloom.fixtures.respondents import FIXTURE_SETTINGS, load, respondents, varied_respondents
 from surveyloom.functions import money_label, percent_label, pt_count, pt_number, to_number
 from surveyloom.operators import audit
 from surveyloom.operators.duplicates import duplicate_profile, repeated_rows
@@ -337,6 +337,38 @@ def extract_file_gender_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gender_share_stack(read_extract_files(spark, folder))
 
 
+def _varied_tables(spark: SparkSession, sf_dir: str) -> Frames:
+    return gold.build_gold(varied_respondents(spark, sf_dir), FIXTURE_SETTINGS)
+
+
+def _varied_kpi(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return KPI_QUERIES[name](_varied_tables(spark, sf_dir), FIXTURE_SETTINGS)
+
+    return run
+
+
+def _varied_chart(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        data = build_extracts(_varied_tables(spark, sf_dir), FIXTURE_SETTINGS, ordered=False)
+        return CHARTS[name](data, FIXTURE_SETTINGS)
+
+    return run
+
+
+# Queries whose thresholds, orders or selections leave something out on the varied respondents.
+VARIED_KPIS = (
+    "kpi_market_by_title_min30",
+    "kpi_pay_by_title_year_min30",
+    "kpi_diversity_min30",
+    "kpi_technology_by_title_year_min30",
+)
+VARIED_CHARTS = ("gender_share_stack", "market_top8", "pay_top8_min50", "work_model_share")
+VARIED_QUERIES = {
+    **{f"varied_{registered}": _varied_kpi(KPI_NAMES[registered]) for registered in VARIED_KPIS},
+    **{f"varied_{name}": _varied_chart(name) for name in VARIED_CHARTS},
+}
+
 OPERATOR_QUERIES = {
     "market_structure_joined": market_structure_joined,
     "technology_long_counts": technology_long_counts,
@@ -381,4 +413,5 @@ QUERIES: dict[str, Query] = {
     **OPERATOR_QUERIES,
     **STORAGE_QUERIES,
     **STORED_QUERIES,
+    **VARIED_QUERIES,
 }

@@ -91,6 +91,24 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Column -> SQL of both engines: sixty titles of very unequal size, an unlisted gender, an unlisted and a rare work model.
+VARIATIONS = {
+    "cargo_padronizado": (
+        "cargo_padronizado || ' ' || CAST(CAST(FLOOR(SQRT(id_respondente % 144)) AS INT) AS VARCHAR(9))"
+    ),
+    "genero": "CASE WHEN id_respondente % 40 = 0 THEN 'Não binário' ELSE genero END",
+    "modelo_trabalho_padronizado": (
+        "CASE WHEN id_respondente % 30 = 0 THEN 'Nômade' WHEN id_respondente % 5 = 2 AND id_respondente % 4 <> 0"
+        " THEN 'Presencial' ELSE modelo_trabalho_padronizado END"
+    ),
+}
+
+
+def varied_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The respondents with answers that thresholds, preferred orders and top-k selections have to sort out."""
+    return respondents(spark, sf_dir).withColumns({name: F.expr(sql) for name, sql in VARIATIONS.items()})
+
+
 def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conformed row-level table.
 
