@@ -91,10 +91,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Column -> SQL of both engines: sixty titles of very unequal size, an unlisted gender, an unlisted and a rare work model.
+# Column -> SQL of both engines: thirty titles of very unequal size, an unlisted gender, an unlisted and a rare work model.
 VARIATIONS = {
     "cargo_padronizado": (
-        "cargo_padronizado || ' ' || CAST(CAST(FLOOR(SQRT(id_respondente % 144)) AS INT) AS VARCHAR(9))"
+        "cargo_padronizado || ' ' || CAST(CAST(FLOOR(SQRT(id_respondente % 36)) AS INT) AS VARCHAR(9))"
     ),
     "genero": "CASE WHEN id_respondente % 40 = 0 THEN 'Não binário' ELSE genero END",
     "modelo_trabalho_padronizado": (
