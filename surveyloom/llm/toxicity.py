@@ -194,7 +194,7 @@ def document_terms(texts: pa.Array, model: CharacterModel) -> Iterator[tuple[int
     """For each group of rows: low, high, and for each distinct word of each text the text (from low) and its terms."""
     data, offsets = text_bytes(texts)
     memory: dict[str, str] = {}
-    for low, high in row_groups(offsets, 16 << 20):
+    for low, high in row_groups(offsets, 2 << 20):
         own = offsets[low : high + 1]
         part, begin = data[own[0] : own[-1]], own - own[0]
         found = words(part, begin, FOLDED_LETTERS)
