@@ -28,7 +28,7 @@ SLACK = 0.12
 #: Bits of the filter that tells which documents need their full sets.
 FILTER_BITS = 23
 #: 64-bit words that describe the difference of a set from its hub's (a power of two).
-DIFFERENCE_WORDS = 16
+DIFFERENCE_WORDS = 32
 
 _PRINT = "doc_id long, n_shingles long, set_key binary, bands array<long>, signature binary"
 _COMPARED = "member long, hub long, n long, hub_n long, common long, own array<long>, gone array<long>"
@@ -202,8 +202,8 @@ def _stray_pairs(members: DataFrame, compared: DataFrame, found: DataFrame, lead
 
     Both ends have been compared with the hub, which bounds their intersection: what they have of the hub together is
     |a & h| + |b & h| - |h| and the shingles that both lack; the rest is what both have beside the hub. The bits of the two
-    differences bound these overlaps from above, so no similar pair is left out. A pair is emitted by the first bucket that
-    both ends share.
+    differences bound these overlaps from above, so no similar pair is left out. Where an end was too far from the hub to be
+    compared, the signatures decide here and not in the next step. A pair is emitted by the first bucket that both ends share.
     """
     own = members.join(found, members["doc_id"] == found["node"], "left").select(
         "doc_id", "bucket", "hub", F.coalesce("component", "doc_id").alias("component")
@@ -212,19 +212,22 @@ def _stray_pairs(members: DataFrame, compared: DataFrame, found: DataFrame, lead
     top = cells.groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("n"))
     mixed = top.filter("n > 1").select("bucket", F.col("top.component").alias("main"))
     own = own.filter("doc_id <> hub").join(mixed, "bucket")
-    own = own.join(leaders.select("doc_id", F.col("n_shingles").alias("size"), "bands"), "doc_id")
+    own = own.join(leaders.select("doc_id", F.col("n_shingles").alias("size"), "bands", "signature"), "doc_id")
     facts = compared.select(F.col("member").alias("doc_id"), "hub", "hub_n", "common", "own", "gone")
     own = own.join(facts, ["doc_id", "hub"], "left")
     stray = own.filter("component <> main").select(
-        "bucket", *(F.col(c).alias("s_" + c) for c in ("doc_id", "component", "size", "bands", "common", "own", "gone"))
+        "bucket", *(F.col(c).alias("s_" + c) for c in ("doc_id", "component", "size", "bands", "signature", "common", "own", "gone"))
     )
     shared = F.expr("element_at(filter(zip_with(bands, s_bands, (x, y) -> if(x = y, x, NULL)), x -> x IS NOT NULL), 1) = bucket")
     once = (F.col("component") == F.col("main")) | (F.col("s_doc_id") < F.col("doc_id"))
     beside = _shared_bits("own", "s_own") + _spare("own", F.col("size") - F.col("common"))
     lacking = _shared_bits("gone", "s_gone") + _spare("gone", F.col("hub_n") - F.col("common"))
     most = F.col("common") + F.col("s_common") - F.col("hub_n") + lacking + beside
-    most = F.least("size", "s_size", F.coalesce(most, F.col("size")))
-    close = 100 * most >= percent * (F.col("size") + F.col("s_size") - most)
+    # Without facts of both ends the bound stays null; least() alone would skip the null.
+    most = F.when(most.isNotNull(), F.least("size", "s_size", most))
+    same = F.expr(f"aggregate(sequence(1, {BANDS * ROWS}), 0, (n, i) -> n + int(substring(signature, i, 1) = substring(s_signature, i, 1)))")
+    alike = same >= BANDS * ROWS * (percent / 100 - SLACK)
+    close = F.coalesce(100 * most >= percent * (F.col("size") + F.col("s_size") - most), alike)
     both = stray.join(own, "bucket").filter((F.col("component") != F.col("s_component")) & once & shared & close)
     return both.select(F.col("s_doc_id").alias("member"), F.col("doc_id").alias("hub"))
 
