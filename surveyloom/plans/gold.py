@@ -2,6 +2,8 @@
 
 Every builder is one scan with a map-side combine: what is shuffled are aggregate cells, whose
 number depends on the categories and not on the rows. A hot category is therefore harmless.
+
+The names of the columns of a table are fixed values, as published.
 """
 
 from __future__ import annotations

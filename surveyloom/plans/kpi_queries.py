@@ -1,6 +1,7 @@
 """The named KPI queries over the aggregate tables.
 
-Each takes the tables by name and the analysis parameters. Ordering puts NULLs last.
+Each takes the tables by name and the analysis parameters. Ordering puts NULLs last. The names of the columns that a query
+returns are fixed values.
 """
 
 from __future__ import annotations
