@@ -1,16 +1,17 @@
 """Main text of web pages by minimum-cut labelling.
 
 A page is a sequence of text blocks. A linear classifier over the tags, names and links of a block gives the cost of calling it
-content or boilerplate (terminal capacities); neighbours and blocks of one parent are tied by smoothness edges. The minimum
-cut, found by max-flow, is the labelling of least total cost.
+content or boilerplate (terminal capacities); neighbours and blocks whose elements have one parent are tied by smoothness edges.
+The minimum cut, found by max-flow, is the labelling of least total cost. Only what is never read as text (scripts, styles, forms,
+hidden elements) is decided beforehand; everything else can be outweighed.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import deque
-from collections.abc import Iterator
+from collections import Counter, deque
+from collections.abc import Iterator, Set
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -21,14 +22,15 @@ from pyspark.sql import functions as F
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-NEVER = set("script style noscript template iframe object svg canvas math head title textarea select option optgroup datalist button form fieldset input audio video map dialog nav aside menu footer".split())
+NEVER = set("script style noscript template iframe object svg canvas math head title textarea select option optgroup datalist button form fieldset input audio video map dialog".split())
+LISTED_TAGS = set("nav aside menu footer".split())
 MAIN = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ENDS_PARAGRAPH = set("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "option": ("select",)}
-NEVER_ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
-NEVER_NAMES = set(
+LISTED_ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
+LISTED_NAMES = set(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies disclaimer disqus"
     " footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup popups promo promoted promotion recommended related"
     " replies respond share sharing sidebar sidebars signup skip social sponsor sponsored sponsors subscribe subscription toolbar topbar widget widgets".split()
@@ -37,10 +39,13 @@ CONTENT_NAMES = set("article articlebody body content entry main post story text
 
 #: Capacities are in hundredths of a nat. CERTAIN outweighs any sum of the others.
 CERTAIN = 10**9
-#: Weights of the classifier: inside an article or main element, inside an element named as content, a heading, a paragraph, a
-#: character of text (up to 200), the share of text in links, and the bias.
-IN_MAIN, IN_CONTENT, HEADING, PARAGRAPH, CHARACTER, LINKED, BIAS = 900, 300, 60, 60, 2, -600, -120
-#: A cut between neighbours, and between neighbours of one parent.
+#: Weights of the classifier: inside an article or main element (outside, where a page has one, the same against it), inside an
+#: element named as content (where a page has no main), a heading, a paragraph, a character of text (up to 200), the share of text
+#: in links (of a heading, which may link to its own page), a listed tag, role or name around the block, and the bias.
+IN_MAIN, IN_CONTENT, HEADING, PARAGRAPH, CHARACTER, LINKED, LINKED_HEADING, LISTED, BIAS = 250, 300, 60, 60, 2, -600, -300, -720, -120
+#: A listed element around all of main and most of the text of a page: its name tells little.
+WRAPPER = -250
+#: A cut between neighbours, and between neighbours whose elements have one parent.
 NEIGHBOUR, SIBLING = 30, 60
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -51,9 +56,12 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 class Element:
     tag: str
     number: int
+    parent: int
     never: bool
     main: bool
     content: bool
+    #: Numbers of the listed elements that it is in.
+    listed: tuple[int, ...] = ()
 
 
 @dataclass(slots=True)
@@ -62,6 +70,7 @@ class Block:
     never: bool
     main: bool
     content: bool
+    listed: tuple[int, ...]
     heading: bool
     paragraph: bool
     pieces: list[str] = field(default_factory=list)
@@ -73,31 +82,25 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
-def _plain(tag: str, number: int, parent: Element) -> Element:
-    main = parent.main or tag in MAIN
-    return Element(tag, number, tag in NEVER or (tag == "header" and not main), main, parent.content)
-
-
 def _element(tag: str, source: str, number: int, parent: Element) -> Element:
-    if parent.never:
-        return Element(tag, number, True, parent.main, parent.content)
-    own = _attributes(source) if "=" in source or source.strip() else {}
-    if not own:
-        return _plain(tag, number, parent)
-    names = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{own.get('class', '')} {own.get('id', '')}").lower()))
-    hidden = "hidden" in own or own.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", own.get("style", ""))
-    page = tag in ("html", "body")
-    main = parent.main or tag in MAIN or own.get("role") in MAIN or own.get("itemprop") == "articleBody"
-    never = parent.never or tag in NEVER or own.get("role") in NEVER_ROLES or bool(hidden) or (not page and tag not in MAIN and bool(names & NEVER_NAMES))
+    own = _attributes(source) if not parent.never and ("=" in source or source.strip()) else {}
+    main = parent.main or tag in MAIN
+    never, listed, content = parent.never or tag in NEVER, tag in LISTED_TAGS, parent.content
+    if own:
+        names = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{own.get('class', '')} {own.get('id', '')}").lower()))
+        page = tag in ("html", "body")
+        main = main or own.get("role") in MAIN or own.get("itemprop") == "articleBody"
+        never = never or "hidden" in own or own.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", own.get("style", "")))
+        listed = listed or own.get("role") in LISTED_ROLES or (not page and tag not in MAIN and bool(names & LISTED_NAMES))
+        content = content or bool(names & CONTENT_NAMES and not page)
     # The header of a page is not the header of its article.
-    never = never or (tag == "header" and not main)
-    # An article inside what is left out (a reader's comment, a teaser) stays out.
-    return Element(tag, number, never, main, parent.content or bool(names & CONTENT_NAMES and not page))
+    listed = listed or (tag == "header" and not main)
+    return Element(tag, number, parent.number, never, main, content, (*parent.listed, number) if listed else parent.listed)
 
 
 def blocks(source: str) -> list[Block]:
     """Text blocks in page order; tags that only style text do not end a block, every other tag does."""
-    root = Element("", 0, False, False, False)
+    root = Element("", 0, 0, False, False, False)
     stack, out, current, number = [root], [], None, 0
 
     def close(tags: tuple[str, ...], scope: tuple[str, ...]) -> None:
@@ -111,12 +114,12 @@ def blocks(source: str) -> list[Block]:
     def add(text: str) -> None:
         nonlocal current
         top = stack[-1] if stack[-1].tag not in INLINE else next((e for e in reversed(stack) if e.tag not in INLINE), root)
-        never = stack[-1].never
-        if current is None or current.never != never:
+        never, listed = stack[-1].never, stack[-1].listed
+        if current is None or current.never != never or current.listed != listed:
             if not text.strip():
                 return
             tags = {e.tag for e in stack}
-            current = Block(top.number, never, stack[-1].main, stack[-1].content, not HEADINGS.isdisjoint(tags), "p" in tags)
+            current = Block(top.parent, never, stack[-1].main, stack[-1].content, listed, not HEADINGS.isdisjoint(tags), "p" in tags)
             out.append(current)
         decoded = text if never else html.unescape(text)
         current.pieces.append(decoded)
@@ -167,15 +170,27 @@ def blocks(source: str) -> list[Block]:
     return [b for b in out if b.text]
 
 
-def evidence(block: Block, has_main: bool) -> int:
-    """Hundredths of a nat in favour of content."""
+def wrappers(found: list[Block]) -> set[int]:
+    """The listed elements that hold all of main and more than half of the text outside links."""
+    shown = [b for b in found if not b.never]
+    plain, mains = Counter(), Counter()
+    for block in shown:
+        for number in (*block.listed, -1):
+            plain[number] += max(len(block.text) - block.linked, 0)
+            mains[number] += block.main
+    return {n for n in plain if n >= 0 and 2 * plain[n] > plain[-1] and mains[n] == mains[-1]}
+
+
+def evidence(block: Block, has_main: bool, around: Set[int] = frozenset()) -> int:
+    """Hundredths of a nat in favour of content; `around` are the wrappers of the page."""
     if block.never:
         return -CERTAIN
     size = len(block.text)
-    score = BIAS + CHARACTER * min(size, 200) + LINKED * min(block.linked, size) // size
-    if has_main:
-        score += IN_MAIN if block.main else -IN_MAIN
-    return score + IN_CONTENT * block.content + HEADING * block.heading + PARAGRAPH * block.paragraph
+    score = BIAS + CHARACTER * min(size, 200) + (LINKED_HEADING if block.heading else LINKED) * min(block.linked, size) // size
+    score += (IN_MAIN if block.main else -IN_MAIN) if has_main else IN_CONTENT * block.content
+    if block.listed:
+        score += WRAPPER if around.issuperset(block.listed) else LISTED
+    return score + HEADING * block.heading + PARAGRAPH * block.paragraph
 
 
 class Flow:
@@ -237,10 +252,11 @@ class Flow:
 def content_blocks(found: list[Block]) -> list[bool]:
     """Which blocks are content: the source side of the minimum cut."""
     has_main = any(b.main and not b.never for b in found)
+    around = wrappers(found)
     flow = Flow(len(found) + 2)
     last: dict[int, int] = {}
     for i, block in enumerate(found):
-        score = evidence(block, has_main)
+        score = evidence(block, has_main, around)
         flow.connect(0, i + 2, max(score, 0), 0) if score >= 0 else flow.connect(i + 2, 1, -score, 0)
         if i:
             flow.connect(i + 1, i + 2, NEIGHBOUR, NEIGHBOUR)

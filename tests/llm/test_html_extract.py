@@ -67,3 +67,38 @@ def test_odd_pages(spark):
     rows = html_extract.extract(pages.selectExpr("*", "'y' AS text", "1 AS n_chars"))
     assert sorted(map(tuple, rows.collect()), key=str) == sorted([(1, None, "", 0), (None, "u", "x", 1), (2, "u", "", 0), (2, "u", "", 0)], key=str)
     assert html_extract.extract(pages.limit(0)).count() == 0
+
+
+PROSE = "Some words about a long matter that goes on and on, without a link and with a full stop at the end of it. " * 3
+
+
+def _lines(body):
+    found = html_extract.blocks(f"<body>{body}</body>")
+    has_main = any(b.main for b in found)
+    alone = [b.text for b in found if html_extract.evidence(b, has_main, html_extract.wrappers(found)) > 0]
+    return main_text(f"<body>{body}</body>").split("\n"), alone
+
+
+def test_an_article_does_not_decide_alone():
+    prose, tail = PROSE.strip(), "Words that follow the article in an element beside it, for long enough. " * 4
+    links = "".join(f"<li><a href={i}>Another page number {i}</a>" for i in range(5))
+    lines, _ = _lines(f"<main><h1><a href=x>Title of it</a></h1><p>{prose}</p><ul>{links}</ul><p><a href=y>Read on here</a></p><p>End.</p></main><div><p>{tail}</p><p>{tail}</p></div>")
+    assert lines == ["Title of it", prose, "End.", tail.strip(), tail.strip()]
+
+
+def test_the_cut_changes_labels_of_an_article():
+    prose, short = PROSE.strip(), "A listed note of about a hundred and eighty letters stands between two paragraphs of the article and belongs to them, as its neighbours say and not the name of its class alone does."
+    article = f"<article><p>{prose}</p><p class=notice>{short}</p><p>{prose}</p></article>"
+    lines, alone = _lines(article)
+    assert lines == [prose, short, prose] and alone == [prose, prose]
+    # The same note away from the paragraphs goes.
+    assert _lines(f"<article><p>{prose}</p><div><p>{prose}</p></div></article><div class=notice>{short}</div>")[0] == [prose, prose]
+
+
+def test_a_listed_wrapper_keeps_its_article():
+    prose = PROSE.strip()
+    for inner in (f"<article><h1>Title</h1><p>{prose}</p><p>Short.</p><p>{prose}</p></article>", f"<div><h1>Title</h1><p>{prose}</p><p>{prose}</p></div>"):
+        lines, _ = _lines(f"<div class='layout with-sidebar'>{inner}<div class=sidebar><p>Other things</p></div></div><footer>{prose[:80]}</footer>")
+        assert lines.count(prose) == 2 and "Other things" not in lines and len(lines) == inner.count("<p>") + ("article" in inner)
+    remark = f"<section class=comments><article><p>{prose}</p></article></section>"
+    assert _lines(f"<article><p>Short one.</p>{remark}</article>")[0] == ["Short one."]
