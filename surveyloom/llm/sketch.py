@@ -1,7 +1,8 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every shingle hash below a fixed fraction of all hashes, so its size follows the text and the sketches of parts
-merge to the sketch of the whole. It keeps its least hash in any case, so only a text without words has an empty one.
+A sketch keeps every shingle hash below a fixed fraction of all hashes, so its size follows the text, and its LEAST least hashes
+in any case, so a short text is kept whole. The sketches of parts merge to the sketch of the whole. Two sketches compare below
+the smaller of their limits; two texts at hand compare by all their shingles.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from surveyloom.llm.text import EXACT_WORDS, row_groups, shingles, text_bytes, w
 SIZE = 5
 #: One hash in FRACTION is kept.
 FRACTION = 8
+#: So many least hashes are kept in any case.
+LEAST = 64
 #: Documents of a part of the order by doc_id.
 PART_ROWS = 4096
 
@@ -27,12 +30,21 @@ _LIMIT = np.uint64(2**64 // FRACTION)
 _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
+class Sketch(np.ndarray):
+    """Kept hashes; `whole` are all hashes of a text at hand, or None."""
+
+    whole: np.ndarray | None = None
+
+
 def sketch(hashes: np.ndarray) -> np.ndarray:
-    """Sorted distinct hashes below the limit, and the least one."""
-    if not len(hashes):
-        return hashes
-    kept = np.unique(hashes[hashes < _LIMIT])
-    return kept if len(kept) else hashes.min(keepdims=True)
+    """Sorted distinct hashes below the limit, and the LEAST least ones."""
+    every = np.unique(hashes)
+    return every[: max(LEAST, int(np.searchsorted(every, _LIMIT)))]
+
+
+def limit(kept: np.ndarray) -> int:
+    """Every hash of the text below it is in the sketch. A sketch of fewer than LEAST hashes is the whole text."""
+    return 2**64 if len(kept) < LEAST else max(int(_LIMIT), int(kept[-1]) + 1)
 
 
 def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -46,7 +58,10 @@ def sketches(texts: list[str], size: int = SIZE) -> list[np.ndarray]:
     for low, high in row_groups(offsets):
         own = offsets[low : high + 1]
         values, first = shingles(words(data[own[0] : own[-1]], own - own[0], EXACT_WORDS), size)
-        out += [sketch(values[first[i] : first[i + 1]]) for i in range(high - low)]
+        for i in range(high - low):
+            whole = np.unique(values[first[i] : first[i + 1]])
+            out.append(sketch(whole).view(Sketch))
+            out[-1].whole = whole
     return out
 
 
@@ -60,13 +75,19 @@ def read(fingerprint: str) -> np.ndarray:
 
 
 def containment(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimated share of the smaller shingle set that lies in the other; 1 if both are empty, 0 if one is.
+    """Share of the smaller shingle set that lies in the other; 1 if both are empty, 0 if one is.
 
-    Two texts of very different length compare over the hashes of the shorter one.
+    It is exact for texts at hand and for sketches that are whole texts. Otherwise it is estimated from the hashes below both
+    limits, and NaN where the smaller set has none there.
     """
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
+    one, other = getattr(a, "whole", None), getattr(b, "whole", None)
+    if one is None or other is None:
+        end = min(limit(a), limit(b))
+        one, other = (x if end == 2**64 else x[: np.searchsorted(x, np.uint64(end))] for x in (np.asarray(a), np.asarray(b)))
+    least = min(len(one), len(other))
+    return len(np.intersect1d(one, other, assume_unique=True)) / least if least else float("nan")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

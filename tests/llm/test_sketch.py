@@ -47,3 +47,36 @@ def test_the_fraction_is_kept():
     text = " ".join(f"w{i}" for i in range(20_000))
     assert len(sketch.sketches([text])[0]) == pytest.approx(20_000 / sketch.FRACTION, rel=0.1)
     assert len(sketch.sketches(["two words"])[0]) == 1 and len(sketch.sketches([" "])[0]) == 0
+
+
+def _brute(a, b):
+    sets = [{tuple(w[i : i + sketch.SIZE]) for i in range(max(1, len(w) - sketch.SIZE + 1))} for w in (a.split(), b.split())]
+    return len(sets[0] & sets[1]) / min(map(len, sets))
+
+
+def test_short_texts_against_brute_force(spark):
+    long = " ".join(f"w{i}" for i in range(3000))
+    pairs = [(" ".join(f"w{i}" for i in range(at, at + n)), long) for n in (2, 5, 6, 12, 40) for at in (3, 700, 2900)]
+    pairs = [(a if len(a.split()) >= sketch.SIZE else "w0 w1 w2 w3 w4", b) for a, b in pairs]
+    pairs += [("a b c d e f g h", "a b c d e f g x"), ("a b c d e f", "u v w x y z")]
+    for a, b in pairs:
+        own, other = sketch.sketches([a, b])
+        assert sketch.containment(own, other) == sketch.containment(other, own) == _brute(a, b)
+    docs = spark.createDataFrame([(2 * len(pairs) - i, t) for i, t in enumerate(t for pair in pairs for t in pair)], "doc_id long, text string")
+    near = {r.doc_id: r.near_next for r in sketch.edit_report(docs).collect()}
+    assert [near[2 * len(pairs) - 2 * i] for i in range(len(pairs))] == [_brute(a, b) for a, b in pairs]
+
+
+def test_stored_sketches_compare_below_both_limits():
+    long = " ".join(f"w{i}" for i in range(3000))
+    read = lambda text: sketch.read(sketch.written(sketch.sketches([text])[0]))
+    big = read(long)
+    guesses = [sketch.containment(read(" ".join(f"w{i}" for i in range(at, at + 12))), big) for at in range(0, 2900, 50)]
+    known = [g for g in guesses if g == g]
+    assert len(known) > len(guesses) / 3 and set(known) == {1.0}
+    assert sketch.containment(read("a b c d e f g h"), read("a b c d e f g x")) == 0.75
+    # Parts that overlap by SIZE - 1 words merge to the whole.
+    union = read(" ".join(f"w{i}" for i in range(50)))
+    for at in range(46, 500, 46):
+        union = sketch.merged(union, read(" ".join(f"w{i}" for i in range(at, at + 50))))
+    assert np.array_equal(union, read(" ".join(f"w{i}" for i in range(at + 50))))
