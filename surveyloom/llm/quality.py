@@ -1,14 +1,15 @@
 """Quality of documents by co-training two views.
 
 The content view sees the words of a text, the page view its metadata and layout. Each view is a logistic classifier. In each
-round a view gives its most confident guesses on unlabelled documents to the other view as labels. At the end both are
-calibrated on labelled documents that they have not seen, and combined.
+round a view gives its most confident guesses on all unlabelled documents to the other view as labels. At the end both are
+calibrated on labelled documents that they have not seen, and combined. The features of all documents are stored once; rounds are
+passes over them that bring counts, gradients and Hessians to the driver.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -17,12 +18,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from surveyloom.llm.storage import stored
 from surveyloom.llm.text import SPACED_WORDS, mix, row_groups, shingles, text_bytes, words
 
-#: Labelled and unlabelled documents that the classifiers learn from, on average; they are drawn by the hash of doc_id. The bound
-#: limits what goes to the driver: one row of features for each of them.
-TRAINING_DOCS, POOL_DOCS = 10_000, 10_000
-ROUNDS, GIVEN, CONFIDENT = 4, 500, 0.97
+#: Labelled documents that the classifiers learn from, on average; they are drawn by the hash of doc_id. Only their features go
+#: to the driver. Of unlabelled documents all take part.
+TRAINING_DOCS = 10_000
+#: In a round a view gives for each class this share of the unlabelled documents, its most confident ones, if it is CONFIDENT.
+ROUNDS, GIVEN, CONFIDENT = 4, 0.05, 0.97
+#: Newton steps of a round, which begins with the weights of the round before.
+STEPS, SMALL_STEP = 6, 1e-3
+#: Cells of the histogram of margins, from -SPAN to SPAN, from which thresholds are taken.
+CELLS, SPAN = 4096, 16.0
 #: Sources and languages are hashed into so many columns each.
 HASHED = 16
 CONTENT_FEATURES = 16
@@ -174,38 +181,114 @@ class Model(NamedTuple):
         return _logit(self.combined.margin(np.column_stack([self.content.margin(content), self.page.margin(page)])))
 
 
-def co_train(content: np.ndarray, page: np.ndarray, label: np.ndarray) -> Model | None:
-    """label: 0, 1, or -1 for the pool. A quarter of the labelled rows only calibrate. None without both classes."""
-    known = np.flatnonzero(label >= 0)
-    if len(np.unique(label[known])) < 2:
+#: Sums of step(content, page) over all unlabelled rows.
+Sums = Callable[[Callable[[np.ndarray, np.ndarray], np.ndarray]], np.ndarray]
+
+
+def _design(model: Logistic, x: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones(len(x)), np.clip((x - model.center) / model.scale, -8, 8)])
+
+
+def _newton_sums(design: np.ndarray, y: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Count, gradient and Hessian of the log loss, in one row."""
+    p = _logit(design @ weights)
+    return np.concatenate([[len(y)], design.T @ (p - y), ((design * (p * (1 - p))[:, None]).T @ design).ravel()])
+
+
+class Gift(NamedTuple):
+    """The guesses that a view gives away: margins up to low are 0, from high on 1."""
+
+    giver: Logistic
+    low: float
+    high: float
+
+
+def _cell(margin: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor((margin + SPAN) * (CELLS / (2 * SPAN))), 0, CELLS - 1).astype(np.int64)
+
+
+def _counts(models: list[Logistic]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    def step(content: np.ndarray, page: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.bincount(_cell(m.margin(x)), minlength=CELLS).astype(float) for m, x in zip(models, (content, page))])
+
+    return step
+
+
+def _gift(giver: Logistic, counts: np.ndarray) -> Gift | None:
+    """Whole cells from both ends until they hold the share GIVEN; only confident ones. None if there is none."""
+    share, bound = GIVEN * counts.sum(), float(np.log(CONFIDENT / (1 - CONFIDENT)))
+    first = _cell(np.array([-bound, bound]))
+    low = min(int(np.searchsorted(np.cumsum(counts), share)), int(first[0]) - 1)
+    high = max(CELLS - 1 - int(np.searchsorted(np.cumsum(counts[::-1]), share)), int(first[1]) + 1)
+    return Gift(giver, low, high) if counts[: low + 1].any() or counts[high:].any() else None
+
+
+def _taken(gifts: list[Gift], x: np.ndarray) -> np.ndarray:
+    """The first label that a row is given, or -1."""
+    label = np.full(len(x), -1)
+    for giver, low, high in gifts:
+        cell = _cell(giver.margin(x))
+        label = np.where(label >= 0, label, np.where(cell <= low, 0, np.where(cell >= high, 1, -1)))
+    return label
+
+
+def _gift_sums(models: list[Logistic], gifts: list[list[Gift]]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Newton sums of both views over what the other view gave them."""
+
+    def step(content: np.ndarray, page: np.ndarray) -> np.ndarray:
+        out = []
+        for model, own, other, given in ((models[0], content, page, gifts[1]), (models[1], page, content, gifts[0])):
+            label = _taken(given, other)
+            own, label = own[label >= 0], label[label >= 0]
+            out.append(_newton_sums(_design(model, own), label.astype(float), model.weights))
+        return np.concatenate(out)
+
+    return step
+
+
+def _learned(content: np.ndarray, page: np.ndarray, label: np.ndarray, sums: Sums) -> Model | None:
+    """Labelled rows are at hand, unlabelled ones are seen through sums. A quarter of the labelled rows only calibrate.
+
+    What a view was given weighs together as much as the labelled rows at most, so that the balance does not follow the size.
+    """
+    known = np.arange(len(label))
+    if len(np.unique(label)) < 2:
         return None
     held = known[3::4] if len(np.unique(label[known[3::4]])) == 2 and len(np.unique(label[np.setdiff1d(known, known[3::4])])) == 2 else known
     seen = np.setdiff1d(known, held) if len(held) < len(known) else known
-    pool = np.flatnonzero(label < 0)
-    sides = [content, page]
-    rows, targets = [seen, seen], [label[seen].astype(float)] * 2
-    models = [fit(x[seen], label[seen].astype(float)) for x in sides]
+    sides, target = [content, page], label[seen].astype(float)
+    models = [fit(x[seen], target) for x in sides]
+    gifts: list[list[Gift]] = [[], []]
     for _ in range(ROUNDS):
-        gifts = []
-        for x, model in zip(sides, models):
-            guess = _logit(model.margin(x[pool])) if len(pool) else np.zeros(0)
-            order = np.argsort(guess, kind="stable")
-            low = order[:GIVEN][guess[order[:GIVEN]] <= 1 - CONFIDENT]
-            high = order[::-1][:GIVEN][guess[order[::-1][:GIVEN]] >= CONFIDENT]
-            gifts.append((pool[low], pool[high]))
-        if not any(len(g) for pair in gifts for g in pair):
+        counts = sums(_counts(models)).reshape(2, CELLS)
+        fresh = [_gift(m, c) for m, c in zip(models, counts)]
+        if not any(fresh):
             break
-        for taker, (low, high) in zip((1, 0), gifts):
-            fresh = np.concatenate([low, high])
-            value = np.concatenate([np.zeros(len(low)), np.ones(len(high))])
-            new = ~np.isin(fresh, rows[taker])
-            rows[taker] = np.concatenate([rows[taker], fresh[new]])
-            targets[taker] = np.concatenate([targets[taker], value[new]])
-        models = [fit(x[r], t) for x, r, t in zip(sides, rows, targets)]
+        for given, gift in zip(gifts, fresh):
+            given += [gift] if gift else []
+        for _ in range(STEPS):
+            parts = np.split(sums(_gift_sums(models, gifts)), [1 + (n := CONTENT_FEATURES + 1) + n * n])
+            moved = []
+            for i, (model, x, part) in enumerate(zip(models, sides, parts)):
+                n = len(model.weights)
+                own = _newton_sums(_design(model, x[seen]), target, model.weights)
+                own = own + min(1.0, len(seen) / max(1.0, part[0])) * part
+                ridge = np.array([1e-3] + [1.0] * (n - 1))
+                step = np.linalg.solve(own[1 + n :].reshape(n, n) + np.diag(ridge), own[1 : 1 + n] + ridge * model.weights)
+                models[i] = model._replace(weights=model.weights - step)
+                moved.append(np.abs(step).max())
+            if max(moved) < SMALL_STEP:
+                break
     margins = np.column_stack([m.margin(x[held]) for m, x in zip(models, sides)])
     return Model(models[0], models[1], fit(margins, label[held].astype(float), 0.1))
 
 
+def co_train(content: np.ndarray, page: np.ndarray, label: np.ndarray) -> Model | None:
+    """On rows at hand. label: 0, 1, or -1 for unlabelled rows. None without both classes."""
+    known, pool = np.flatnonzero(label >= 0), np.flatnonzero(label < 0)
+    return _learned(content[known], page[known], label[known], lambda step: step(content[pool], page[pool]))
+
+
 _COLUMNS = ("text", "lang", "source")
 
 
@@ -213,31 +296,45 @@ def _key():
     return F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 30))
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = TRAINING_DOCS, pool: int = POOL_DOCS) -> Model | None:
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, width).astype(float)
+
+
+def _pool_sums(pool: DataFrame) -> Sums:
+    """Each task adds up its rows; one row of sums for each partition goes to the driver."""
+
+    def sums(step: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                part = step(_matrix(batch.column(0), CONTENT_FEATURES), _matrix(batch.column(1), PAGE_FEATURES))
+                total = part if total is None else total + part
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+        found = [np.frombuffer(r.sums) for r in pool.select("content", "page").mapInArrow(run, "sums binary").collect()]
+        return np.sum(found, axis=0) if found else step(np.zeros((0, CONTENT_FEATURES)), np.zeros((0, PAGE_FEATURES)))
+
+    return sums
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = TRAINING_DOCS) -> Model | None:
     """Co-trains on docs (doc_id, text, lang, source) and labels (doc_id, quality)."""
     given = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).filter("doc_id IS NOT NULL AND quality IN (0, 1)")
     given = given.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    known, every = given.count(), docs.count()
-    drawn = given.filter(_key() < int(min(1.0, labelled / max(1, known)) * (1 << 30)))
+    drawn = given.filter(_key() < int(min(1.0, labelled / max(1, given.count())) * (1 << 30)))
     own = docs.select(F.col("doc_id").cast("long"), *_COLUMNS).join(F.broadcast(drawn), "doc_id", "left")
-    pooled = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < int(min(1.0, pool / max(1, every)) * (1 << 30))
-    own = own.filter(F.col("quality").isNotNull() | pooled).select(*_COLUMNS, F.coalesce("quality", F.lit(-1)).alias("quality"), "doc_id")
+    own = own.select(*_COLUMNS, F.coalesce("quality", F.lit(-1)).alias("quality"), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content, page = views(batch)
-            kind = pa.list_(pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("quality"), pa.array(list(content), kind), pa.array(list(page), kind)],
-                names=["doc_id", "quality", "content", "page"],
-            )
-
-    rows = own.mapInArrow(run, "doc_id long, quality int, content array<double>, page array<double>").toArrow()
-    order = np.lexsort((rows["quality"].to_numpy(), rows["doc_id"].fill_null(0).to_numpy()))
-    label = rows["quality"].to_numpy()[order]
-    content = np.array(rows["content"].to_pylist(), float).reshape(-1, CONTENT_FEATURES)[order]
-    page = np.array(rows["page"].to_pylist(), float).reshape(-1, PAGE_FEATURES)[order]
-    return co_train(content, page, label)
+            blobs = [pa.array([row.tobytes() for row in view.astype(np.float32)], pa.binary()) for view in views(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), *blobs], names=["doc_id", "quality", "content", "page"])
+
+    features = stored(own.mapInArrow(run, "doc_id long, quality int, content binary, page binary"), "features")
+    rows = features.filter("quality >= 0").toArrow().sort_by([("doc_id", "ascending"), ("content", "ascending"), ("page", "ascending")])
+    content, page = _matrix(rows["content"], CONTENT_FEATURES), _matrix(rows["page"], PAGE_FEATURES)
+    return _learned(content, page, rows["quality"].to_numpy(), _pool_sums(features.filter("quality < 0")))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -39,3 +39,36 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert quality.quality(no_docs, labels).count() == 0
     scored = quality.score(odd_docs, quality.train(odd_docs, labels))
     assert scored.columns == [c for c in odd_docs.columns if c != "quality_score"] + ["quality_score"]
+
+
+def test_every_unlabelled_document_is_seen(spark, docs):
+    """Passes over many partitions see all unlabelled rows of a corpus beyond any fixed pool, and add up to one pass at hand."""
+    seen = []
+    learned = quality._learned
+
+    def watched(content, page, label, sums):
+        seen.append((len(label), sums(lambda c, p: np.array([float(len(c)), c.sum(), p.sum()]))))
+        return learned(content, page, label, sums)
+
+    many = docs.crossJoin(spark.range(60)).select((F.col("doc_id") * 60 + F.col("id")).alias("doc_id"), F.substring("text", 1, 60).alias("text"), "lang", "source")
+    labels = many.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")).filter("doc_id % 97 = 0")
+    quality._learned = watched
+    try:
+        quality.train(many.repartition(7), labels)
+    finally:
+        quality._learned = learned
+    (known, (rows, _, _)), = seen
+    assert known == labels.count() and known + rows == many.count() > 10_000
+
+
+def test_one_pass_equals_many():
+    rng = np.random.default_rng(8)
+    truth = rng.integers(0, 2, 3000)
+    content, page = rng.normal(size=(3000, quality.CONTENT_FEATURES)), rng.normal(size=(3000, quality.PAGE_FEATURES))
+    content[:, 0] += 5 * truth
+    page[:, 0] += 4 * truth
+    label = np.where(np.arange(3000) < 60, truth, -1)
+    whole = quality.co_train(content, page, label)
+    parts = lambda step: sum(step(content[i : i + 700], page[i : i + 700]) for i in range(60, 3000, 700))
+    dealt = quality._learned(content[:60], page[:60], label[:60], parts)
+    assert all(np.allclose(a.weights, b.weights) for a, b in zip(whole, dealt))
