@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from surveyloom.llm import decontaminate, html_extract, langid, mixing, quality, secrets, sketch, toxicity, warc
+from surveyloom.llm import (
+    decontaminate,
+    filter_audit,
+    html_extract,
+    langid,
+    mixing,
+    quality,
+    secrets,
+    sketch,
+    spelling,
+    token_files,
+    toxicity,
+    warc,
+)
 from surveyloom.llm.neardup import near_duplicates
 
 
@@ -67,6 +80,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(_table(spark, sf_dir, "documents")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary of all documents with each word's form."""
+    return spelling.document_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each language's documents, in every order."""
+    return filter_audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as token ids and read back."""
+    return token_files.round_trip(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -78,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_secret_scan": op10_secret_scan,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_token_files": op13_token_files,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -85,4 +116,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_warc": warc.WARC_SQL,
     "op3_mix_sources": mixing.MIX_SQL,
+    "op12_filter_audit": filter_audit.AUDIT_SQL,
 }
