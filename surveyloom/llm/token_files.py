@@ -8,11 +8,17 @@ few documents or of a range of ids opens few stripes, and no row needs its neigh
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import chain, compress
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -24,9 +30,9 @@ from surveyloom.session import fresh_folder
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 #: Bytes of text that are encoded together.
-GROUP_BYTES = 1 << 20
-#: Different words whose ids a task keeps. A full store is emptied, which changes no result.
-KEPT_WORDS = 1 << 18
+GROUP_BYTES = 8 << 20
+#: Different parts of words whose ids a worker keeps, some 200 bytes each. A full store is emptied, which changes no result.
+KEPT_PARTS = 1 << 20
 #: Target bytes of text of a file.
 FILE_BYTES = 128 << 20
 #: Bytes of a stripe in memory; a task can start at any.
@@ -43,51 +49,172 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+#: The vocabulary's own rule for the parts of a text, on bytes of lower-case ASCII and Latin-1 letters. Fixed values.
+_LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+_PARTS = re.compile(rb"\n|'(?:s|t|re|ve|m|ll|d)|(?:[a-z]|" + _LATIN + rb")+|[0-9]|[^\sa-z0-9\x80-\xff]+")
+#: A word that consists of such bytes only; any other goes through all rules of the vocabulary in one piece.
+_SIMPLE = re.compile(rb"(?:[^\s\x80-\xff]|" + _LATIN + rb")+")
+
+
+class _Ids:
+    """The ids of numbered items, one after another."""
+
+    def __init__(self) -> None:
+        self.flat, self.size, self.used, self.count = np.zeros(1 << 12, np.int32), np.zeros(1 << 10, np.int64), 0, 0
+
+    def extend(self, flat: np.ndarray, size: np.ndarray) -> None:
+        self.flat = _grown(self.flat, self.used + len(flat))
+        self.size = _grown(self.size, self.count + len(size))
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.size[self.count : self.count + len(size)] = size
+        self.used, self.count = self.used + len(flat), self.count + len(size)
+
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.size[: self.count]) - self.size[: self.count]
+
+    def of(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some items, and how many each has."""
+        counts = self.size[slots]
+        place = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        return self.flat[np.repeat(self.starts()[slots], counts) + place], counts
+
+
+def _grown(values: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(values):
+        return values
+    return np.concatenate([values, np.zeros(max(size, 2 * len(values)) - len(values), values.dtype)])
+
+
+def _sums(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of `counts` over runs of `sizes` entries."""
+    ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]
+    return np.diff(ends)
+
+
+def _numbers(items: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """Each item's number among the different items, and these in order."""
+    values = np.empty(len(items), object)
+    values[:] = items
+    codes, different = pd.factorize(values)
+    return codes, list(different)
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
-    The vocabulary's rules never join what white space parts (white space is dropped, no rule looks across it), so a text's ids are those
-    of its words, and each different word is encoded once while it is kept. `Encoder(rules, whole=True)` encodes texts in one piece.
+    White space is dropped by the vocabulary's rules and no rule looks across it, so a text's ids are those of its words. A word of
+    ASCII and Latin-1 letters, which normalisation only lower-cases, is parted as the rules part it, and each
+    different part is encoded once while it is kept. Words with other characters, and texts with a special token, go through
+    all rules in one piece. `whole` encodes every text in one piece, for other vocabularies.
     """
 
     def __init__(self, rules: str, whole: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(rules)
-        self.whole = whole
+        declared = json.loads(rules)
+        self.tokenizer, self.whole = Tokenizer.from_str(rules), whole
+        self.special = [token["content"] for token in declared["added_tokens"]]
+        # The same pieces and merges for parts that need no normalising; white space stands between them.
+        steps = [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+        plain = {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": steps}, "added_tokens": []}
+        self.plain = Tokenizer.from_str(json.dumps({**declared, **plain}))
         self._forget()
 
     def _forget(self) -> None:
         self.slots: dict[bytes, int] = {}
-        self.parts: list[list[int]] = []
+        self.ids = _Ids()
+
+    def _encode(self, texts: list[str], into: _Ids) -> None:
+        """Texts by all rules."""
+        for low in range(0, len(texts), 4096):
+            found = [e.ids for e in self.tokenizer.encode_batch(texts[low : low + 4096], add_special_tokens=False)]
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            into.extend(np.fromiter(chain.from_iterable(found), np.int32, int(size.sum())), size)
+
+    def _encode_parts(self, parts: list[bytes], into: _Ids) -> None:
+        """Parts of simple words, many together; each has at least one id."""
+        for low in range(0, len(parts), 1024):
+            own = parts[low : low + 1024]
+            found = self.plain.encode(b" ".join(own).decode().lower(), add_special_tokens=False)
+            into.extend(np.array(found.ids, np.int32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(own)))
+
+    def _numbered(self, items: list[bytes], encode) -> np.ndarray:
+        """The slots of items, those that are new among them encoded."""
+        new = [item for item in items if item not in self.slots]
+        self.slots.update(zip(new, range(self.ids.count, self.ids.count + len(new))))
+        encode(new, self.ids)
+        return np.fromiter((self.slots[item] for item in items), np.int64, len(items))
+
+    def _words(self, words: list[bytes]) -> _Ids:
+        """The ids of different words: simple ones by their parts, the others by all rules."""
+        is_simple = np.array([w.isascii() or bool(_SIMPLE.fullmatch(w.lower())) for w in words], bool)
+        # White space is in no word, so a line break ends each, and a space marks a word that is kept whole.
+        others = self._numbered(
+            [b" " + w for w, simple in zip(words, is_simple) if not simple],
+            lambda new, into: self._encode([w[1:].decode() for w in new], into),
+        )
+        codes, known = _numbers(_PARTS.findall(b"\n".join(compress(words, is_simple)).lower()))
+        end = known.index(b"\n") if b"\n" in known else -1
+        real = [p for p in known if p != b"\n"]
+        numbers = self._numbered(real, self._encode_parts)
+        if end >= 0:
+            numbers = np.insert(numbers, end, -1)
+        slots = numbers[codes[codes != end]]
+        simple = _Ids()
+        if is_simple.any():
+            ends = np.concatenate([np.flatnonzero(codes == end), [len(codes)]])
+            ids, counts = self.ids.of(slots)
+            simple.extend(ids, _sums(counts, np.diff(ends, prepend=-1) - 1))
+        whole = _Ids()
+        whole.extend(*self.ids.of(others))
+        # In the order of the words.
+        both = _Ids()
+        both.extend(np.concatenate([simple.flat[: simple.used], whole.flat[: whole.used]]), np.concatenate([simple.size[: simple.count], whole.size[: whole.count]]))
+        place = np.empty(len(words), np.int64)
+        place[is_simple] = np.arange(simple.count)
+        place[~is_simple] = simple.count + np.arange(whole.count)
+        ordered = _Ids()
+        ordered.extend(*both.of(place))
+        return ordered
 
     def __call__(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
-        words = [[t.encode()] if self.whole and t else t.encode().split() for t in texts]
-        if len(self.slots) > KEPT_WORDS or self.whole:
+        if len(self.slots) > KEPT_PARTS:
             self._forget()
-        new = list({w for ws in words for w in ws if w not in self.slots})
-        found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.slots.update((w, len(self.parts) + i) for i, w in enumerate(new))
-        self.parts.extend(e.ids for e in found)
-        slots = np.fromiter((self.slots[w] for ws in words for w in ws), np.int64, sum(map(len, words)))
-        used, slots = np.unique(slots, return_inverse=True)
-        own = [self.parts[i] for i in used]
-        size = np.array([len(p) for p in own], np.int64)
-        flat = np.array([i for p in own for i in p], np.int32)
-        counts = size[slots]
-        place = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-        ids = flat[np.repeat((np.cumsum(size) - size)[slots], counts) + place] if len(flat) else flat
-        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *map(len, words)])]
-        return ids, np.diff(ends)
+        apart = [i for i, t in enumerate(texts) if self.whole or any(s in t for s in self.special)]
+        lone = set(apart)
+        words = [[] if i in lone else t.encode().split() for i, t in enumerate(texts)]
+        number = np.fromiter(map(len, words), np.int64, len(words))
+        codes, different = _numbers(list(chain.from_iterable(words)))
+        ids, counts = self._words(different).of(codes)
+        counts = _sums(counts, number)
+        if not apart:
+            return ids, counts
+        own = _Ids()
+        self._encode([texts[i] for i in apart], own)
+        flat, sizes = own.of(np.arange(own.count))
+        pieces = np.split(ids, np.cumsum(counts)[:-1])
+        for i, piece in zip(apart, np.split(flat, np.cumsum(sizes)[:-1])):
+            pieces[i], counts[i] = piece, len(piece)
+        return np.concatenate(pieces), counts
+
+
+def kept_encoder(rules: str, whole: bool) -> Encoder:
+    """The encoder that this worker process has made for these rules before, or a new one."""
+    kept = sys.modules.setdefault("surveyloom_kept_encoders", types.ModuleType("surveyloom_kept_encoders"))
+    key = (hash(rules), whole)
+    if key not in kept.__dict__:
+        kept.__dict__.clear()
+        kept.__dict__[key] = Encoder(rules, whole)
+    return kept.__dict__[key]
 
 
 def _encoded(rules: str, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, file, first = Encoder(rules, whole), TaskContext.get().partitionId(), 0
+        encode, file, first = kept_encoder(rules, whole), TaskContext.get().partitionId(), 0
         for batch in batches:
             column = batch.column(1)
             sizes = np.array(pa.compute.binary_length(column).fill_null(0), np.int64)
