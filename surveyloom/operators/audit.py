@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.operators.duplicates import copies
+from surveyloom.operators.duplicates import duplicate_profile
 
 PROCESSED_AT = "processado_em"
 PROFILE_SCHEMA = "ano_pesquisa int, registros bigint, colunas bigint, duplicados_excedentes bigint"
@@ -59,12 +59,21 @@ def raise_on_mismatch(comparison: DataFrame) -> None:
         raise ProfileMismatch(f"(edition, metric, found, expected): {found}")
 
 
-def _copies_if(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("copies"))), F.lit(0))
+def _rows_if(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0)
 
 
 def _outside(column: str, valid: Sequence[str]) -> Column:
-    return _copies_if(F.col(column).isNotNull() & ~F.col(column).isin(*valid))
+    return _rows_if(F.col(column).isNotNull() & ~F.col(column).isin(*valid))
+
+
+def invalid_values(regions: Sequence[str], seniorities: Sequence[str]) -> dict[str, Column]:
+    """What the audit counts on conformed rows: 1 for a row without an id or with an unlisted value."""
+    return {
+        "ids_nulos": _rows_if(F.col("id_respondente").isNull()),
+        "regioes_invalidas": _outside("regiao_moradia", regions),
+        "senioridades_invalidas": _outside("senioridade", seniorities),
+    }
 
 
 def conform_audit(
@@ -73,20 +82,22 @@ def conform_audit(
     regions: Sequence[str],
     seniorities: Sequence[str],
 ) -> DataFrame:
-    """Rows in, out and lost per edition, with invalid values; one pass over the conformed rows.
+    """Rows in, out and lost per edition, with invalid values.
 
     Duplicates are kept, and counted again on the conformed rows. ERRO: rows were lost or appeared, or fewer duplicates than
     raw ones are left; ALERTA: all rows are there, but some have become equal, have no id or an invalid value.
     """
-    out = copies(silver.drop(PROCESSED_AT), keys=["ano_pesquisa"]).groupBy("ano_pesquisa").agg(
-        F.sum("copies").alias("saida"),
-        F.sum(F.col("copies") - 1).alias("preservadas"),
-        _copies_if(F.col("id_respondente").isNull()).alias("ids_nulos"),
-        _outside("regiao_moradia", regions).alias("regioes_invalidas"),
-        _outside("senioridade", seniorities).alias("senioridades_invalidas"),
-    )
+    measures = invalid_values(regions, seniorities)
+    return audit_status(bronze_profile, duplicate_profile(silver.drop(PROCESSED_AT), keys=["ano_pesquisa"], measures=measures))
+
+
+def audit_status(bronze_profile: DataFrame, silver_profile: DataFrame) -> DataFrame:
+    """The audit of both profiles (ano_pesquisa, registros, duplicados_excedentes; of the conformed rows also the invalid values)."""
     zero = F.lit(0).cast("long")
     counts = ["ids_nulos", "regioes_invalidas", "senioridades_invalidas"]
+    out = silver_profile.select(
+        "ano_pesquisa", F.col("registros").alias("saida"), F.col("duplicados_excedentes").alias("preservadas"), *counts
+    )
     invalid = F.col("ids_nulos") + F.col("regioes_invalidas") + F.col("senioridades_invalidas")
     audited = bronze_profile.join(out, "ano_pesquisa", "full_outer").select(
         F.col("ano_pesquisa").alias("ano"),

@@ -7,12 +7,13 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.operators.audit import (
     METRICS,
-    assert_not_empty,
+    EmptyTable,
+    LostRows,
     compare_profiles,
     conform_audit,
     expected_profiles,
@@ -21,9 +22,10 @@ from surveyloom.operators.audit import (
 )
 from surveyloom.operators.duplicates import duplicate_profile
 from surveyloom.plans.frames import Frames
-from surveyloom.plans.gold import GOLD_BUILDERS, build_gold
+from surveyloom.plans.gold import GOLD_BUILDERS, YEAR, base_cube, gold_from_cube
 from surveyloom.sinks.audit_log import append_run, new_run_id
-from surveyloom.sinks.catalog import ensure_database, publish, read_tables, write_files
+from surveyloom.sinks.catalog import write_files
+from surveyloom.sinks.runs import Part, current_run, parts_of, publish_run, published_parts
 from surveyloom.sources.conform import Rule, conform
 from surveyloom.sources.raw_csv import check_width, read_raw_csv
 from surveyloom.vocabulary import AUDIT_TABLE, SENIORITIES, SILVER_TABLE, Settings
@@ -38,6 +40,7 @@ class Edition:
     rules: Mapping[str, Rule] = field(default_factory=dict)
     profile: Mapping[str, int] | None = None
     stored: str | None = None
+    rows: int | None = None
 
     @property
     def width(self) -> int | None:
@@ -58,12 +61,14 @@ def store_raw(spark: SparkSession, editions: Sequence[Edition], location: str) -
     """Parse every edition once and keep its raw text as Parquet.
 
     The write reads whole rows, so that a malformed row fails here and cannot hide behind a
-    narrow projection later.
+    narrow projection later. It also counts them: `rows` of the editions that are returned.
     """
-    stored = [replace(edition, stored=f"{location}/{edition.year}") for edition in editions]
-    for edition in stored:
+    stored = []
+    for edition in editions:
+        path, written = f"{location}/{edition.year}", Observation()
         raw = check_width(read_raw_csv(spark, edition.path), edition.year, edition.width)
-        raw.write.mode("overwrite").parquet(edition.stored)
+        raw.observe(written, F.count("*").alias("registros")).write.mode("overwrite").parquet(path)
+        stored.append(replace(edition, stored=path, rows=written.get["registros"]))
     return stored
 
 
@@ -135,31 +140,65 @@ def conform_editions(spark: SparkSession, editions: Sequence[Edition], processed
     )
 
 
-def stage_gold(silver: DataFrame, folder: str, settings: Settings = Settings(), rebalance: bool = True) -> Frames:
-    """Write the conformed rows by edition, then every aggregate table from the written rows; nothing is published.
+@dataclass(frozen=True)
+class Staged:
+    """Files of a run that nothing points at yet."""
+
+    folder: str
+    parts: tuple[Part, ...] = ()
+    tables: Mapping[str, DataFrame] = field(default_factory=dict)
+
+    def with_table(self, name: str, key: str, frame: DataFrame, rebalance: bool = True, **counts: Column) -> tuple[Staged, dict]:
+        """One more table, written by edition, and what was counted while it was written.
+
+        The counts stand behind the last shuffle, so a task that runs again counts once.
+        """
+        path, written = f"{self.folder}/{name}", Observation()
+        if rebalance:
+            frame = frame.hint("rebalance", F.col(key))
+        metrics = {"anos": F.collect_set(key), "sem_ano": F.count_if(F.col(key).isNull()), **counts}
+        frame = frame.observe(written, *[metric.alias(label) for label, metric in metrics.items()])
+        table = write_files(frame, path, [key], rebalance=False)
+        found = written.get
+        years = [*sorted(found["anos"]), *[None] * bool(found["sem_ano"])]
+        return replace(self, parts=(*self.parts, *parts_of(name, key, frame, path, years)), tables={**self.tables, name: table}), found
+
+
+def stage_gold(
+    silver: DataFrame,
+    folder: str,
+    settings: Settings = Settings(),
+    rebalance: bool = True,
+    expected: Mapping[int, int] | None = None,
+) -> Staged:
+    """Write the conformed rows by edition, their cube, and every aggregate table from the cube; nothing is published.
 
-    The written rows are the restart point: a lost executor re-reads Parquet, not the raw text.
+    The conformed rows are scanned once. The written tables are restart points: a lost executor re-reads Parquet, not the raw text.
+    `expected` rows of each edition are compared with those that were written, before anything is built from them.
     """
-    stored = write_files(silver, f"{folder}/silver", ["ano_pesquisa"], rebalance)
-    tables = {SILVER_TABLE: stored}
-    for name, frame in build_gold(stored, settings).items():
-        tables[name] = write_files(frame, f"{folder}/gold/{name}")
-    return Frames({name: partial(lambda table: table, table) for name, table in tables.items()})
+    wanted = expected or {}
+    counts = {f"ano_{year}": F.count_if(F.col(YEAR) == year) for year in wanted}
+    staged, written = Staged(folder).with_table(SILVER_TABLE, YEAR, silver, rebalance, **counts)
+    lost = sorted(year for year, rows in wanted.items() if written[f"ano_{year}"] != rows)
+    if lost:
+        raise LostRows(f"Editions with lost rows: {lost}")
+    cube = write_files(base_cube(staged.tables[SILVER_TABLE]), f"{folder}/cubo", [YEAR])
+    for name, frame in gold_from_cube(cube, settings).items():
+        staged, _ = staged.with_table(name, YEAR, frame)
+    return staged
 
 
-def publish_tables(spark: SparkSession, database: str, location: str, folder: str, audited: bool) -> Frames:
-    """Point the tables of a database at the files of one run."""
-    ensure_database(spark, database, location)
-    publish(spark, database, SILVER_TABLE, f"{folder}/silver", ["ano_pesquisa"])
-    for name in GOLD_BUILDERS:
-        publish(spark, database, name, f"{folder}/gold/{name}")
-    if audited:
-        publish(spark, database, AUDIT_TABLE, f"{folder}/audit")
-    return read_tables(spark, database, [SILVER_TABLE, *GOLD_BUILDERS, *[AUDIT_TABLE] * audited])
+def raise_on_empty(parts: Sequence[Part]) -> None:
+    """A table without rows has no part."""
+    there = {part.table for part in parts}
+    empty = [name for name in GOLD_BUILDERS if name not in there]
+    if empty:
+        raise EmptyTable(f"No rows in: {empty}")
 
 
-def _run_folder(location: str) -> str:
-    return f"{location}/runs/{new_run_id(datetime.now(timezone.utc))}"
+def _run(location: str) -> tuple[str, str]:
+    run_id = new_run_id(datetime.now(timezone.utc))
+    return run_id, f"{location}/runs/{run_id}"
 
 
 def store_gold(
@@ -171,9 +210,29 @@ def store_gold(
     rebalance: bool = True,
 ) -> Frames:
     """Write and publish the conformed and aggregate tables."""
-    folder = _run_folder(location)
-    stage_gold(silver, folder, settings, rebalance)
-    return publish_tables(spark, database, location, folder, audited=False)
+    run_id, folder = _run(location)
+    staged = stage_gold(silver, folder, settings, rebalance)
+    raise_on_empty(staged.parts)
+    return publish_run(spark, database, location, run_id, staged.parts)
+
+
+def _stage_editions(
+    spark: SparkSession,
+    editions: Sequence[Edition],
+    folder: str,
+    regions: Sequence[str],
+    settings: Settings,
+) -> Staged:
+    """Raw editions to conformed, aggregate and audit tables in a folder; raises where an edition has lost rows."""
+    editions = store_raw(spark, editions, f"{folder}/bronze")
+    silver = conform_editions(spark, editions, datetime.now(timezone.utc))
+    # Every task reads one edition, so the rows are already apart by edition.
+    expected = {edition.year: edition.rows for edition in editions}
+    staged = stage_gold(silver, folder, settings, rebalance=False, expected=expected)
+    audit = conform_audit(profile_editions(spark, editions), staged.tables[SILVER_TABLE], regions, SENIORITIES)
+    staged, _ = staged.with_table(AUDIT_TABLE, "ano", audit)
+    raise_on_lost_rows(staged.tables[AUDIT_TABLE])
+    return staged
 
 
 def build_lake(
@@ -186,16 +245,33 @@ def build_lake(
 ) -> Frames:
     """Raw editions to conformed, aggregate and audit tables.
 
-    Each run writes to a folder of its own. Only when no aggregate is empty and no edition has lost rows do the tables point at
-    it; a run that fails leaves the tables of the run before as they were.
+    Each run writes to a folder of its own. Only when no aggregate is empty and no edition has lost rows is it published, all
+    tables at once; a run that fails at any point leaves readers with the whole run before it.
     """
-    folder = _run_folder(location)
-    editions = store_raw(spark, editions, f"{folder}/bronze")
-    silver = conform_editions(spark, editions, datetime.now(timezone.utc))
-    # Every task reads one edition, so the rows are already apart by edition.
-    staged = stage_gold(silver, folder, settings, rebalance=False)
-    audit = conform_audit(profile_editions(spark, editions), staged[SILVER_TABLE], regions, SENIORITIES)
-    audit = write_files(audit, f"{folder}/audit")
-    assert_not_empty(staged, GOLD_BUILDERS)
-    raise_on_lost_rows(audit)
-    return publish_tables(spark, database, location, folder, audited=True)
+    run_id, folder = _run(location)
+    staged = _stage_editions(spark, editions, folder, regions, settings)
+    raise_on_empty(staged.parts)
+    return publish_run(spark, database, location, run_id, staged.parts)
+
+
+def add_editions(
+    spark: SparkSession,
+    editions: Sequence[Edition],
+    database: str,
+    location: str,
+    regions: Sequence[str],
+    settings: Settings = Settings(),
+) -> Frames:
+    """Publish a run that has these editions anew and all others as they are: only these are read and built.
+
+    Every table is kept by edition and no cell spans two, so the result is that of building all editions. A table without rows
+    in the new editions alone is no error when it has rows in others.
+    """
+    base = current_run(spark, location)
+    run_id, folder = _run(location)
+    staged = _stage_editions(spark, editions, folder, regions, settings)
+    years = {edition.year for edition in editions}
+    kept = [part for part in published_parts(spark, location, base) if part.year not in years] if base else []
+    parts = [*kept, *staged.parts]
+    raise_on_empty(parts)
+    return publish_run(spark, database, location, run_id, parts, based_on=base)

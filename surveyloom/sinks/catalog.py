@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 from surveyloom.plans.frames import Frames
 
 
-def _name(*parts: str) -> str:
+def qualified(*parts: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
 
 
+def quoted_text(text: str) -> str:
+    """The inside of a string literal."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def ensure_database(spark: SparkSession, database: str, location: str) -> None:
-    path = location.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(database)} LOCATION '{path}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified(database)} LOCATION '{quoted_text(location)}'")
 
 
 def use_database(spark: SparkSession, database: str) -> None:
@@ -52,7 +56,7 @@ def write_files(frame: DataFrame, path: str, partition_by: Sequence[str] = (), r
 
 def publish(spark: SparkSession, database: str, table: str, path: str, partition_by: Sequence[str] = ()) -> None:
     """Point an external table at files. The files it pointed at before stay where they are."""
-    name = _name(database, table)
+    name = qualified(database, table)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
     if partition_by:
@@ -61,9 +65,9 @@ def publish(spark: SparkSession, database: str, table: str, path: str, partition
 
 
 def read_tables(spark: SparkSession, database: str, names: Iterable[str]) -> Frames:
-    return Frames({name: partial(spark.table, _name(database, name)) for name in names})
+    return Frames({name: partial(spark.table, qualified(database, name)) for name in names})
 
 
 def inventory(spark: SparkSession, database: str) -> DataFrame:
     """Tables of a database, without the session's temporary views."""
-    return spark.sql(f"SHOW TABLES IN {_name(database)}").filter(~F.col("isTemporary"))
+    return spark.sql(f"SHOW TABLES IN {qualified(database)}").filter(~F.col("isTemporary"))

@@ -2,7 +2,8 @@
 
 An edition is a mapping of conformed column to rule. Every rule is a plain expression, so an
 edition is one projection: no row is dropped, merged or moved. A question that an edition did
-not ask has no rule and is NULL.
+not ask has no rule and is NULL. Answers with many spellings are looked up by a join with a table of spellings, in which each
+spelling is there once.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.functions import quoted, to_number, whole_number
@@ -29,20 +30,42 @@ def _text(source: str) -> Column:
     return F.nullif(answer, F.lit(""))
 
 
+#: A map of this many entries is searched one entry after another in every row; larger ones are joined.
+MOST_LITERALS = 50
+SPELLING, VALUE = "grafia", "valor"
+
+#: Raw answer -> what it stands for: in the code, or a table (grafia, valor).
+Spellings = Mapping[str, object] | DataFrame
+
+
 def _found(mapping: Mapping[str, object], key: Column) -> Column:
     entries = [F.lit(item) for pair in mapping.items() for item in pair]
     return F.try_element_at(F.create_map(*entries), key)
 
 
+def _is_joined(spellings: Spellings) -> bool:
+    return isinstance(spellings, DataFrame) or len(spellings) > MOST_LITERALS
+
+
+def spelling_table(spark: SparkSession, spellings: Spellings) -> DataFrame:
+    """grafia, valor: one row for each trimmed spelling. Of several values for one spelling the least counts; blank spellings go."""
+    if not isinstance(spellings, DataFrame):
+        return spark.createDataFrame(list(spellings.items()), [SPELLING, VALUE])
+    trimmed = F.nullif(F.trim(F.col(SPELLING)), F.lit("")).alias(SPELLING)
+    return spellings.select(trimmed, VALUE).filter(F.col(SPELLING).isNotNull()).groupBy(SPELLING).agg(F.min(VALUE).alias(VALUE))
+
+
 @dataclass(frozen=True)
 class Answer:
     """Text, respelled where the mapping says so. Unknown spellings stay, for the audit to count."""
 
     source: str
-    spellings: Mapping[str, str] = field(default_factory=dict)
+    spellings: Spellings = field(default_factory=dict)
 
-    def column(self) -> Column:
+    def column(self, joined: Column | None = None) -> Column:
         text = _text(self.source)
+        if joined is not None:
+            return F.coalesce(joined, text)
         return F.coalesce(_found(self.spellings, text), text) if self.spellings else text
 
 
@@ -51,10 +74,10 @@ class Code:
     """A value looked up by the raw answer; NULL for answers that are not listed."""
 
     source: str
-    values: Mapping[str, object]
+    values: Spellings
 
-    def column(self) -> Column:
-        return _found(self.values, _text(self.source))
+    def column(self, joined: Column | None = None) -> Column:
+        return _found(self.values, _text(self.source)) if joined is None else joined
 
 
 @dataclass(frozen=True)
@@ -88,9 +111,21 @@ def conform(bronze: DataFrame, year: int, rules: Mapping[str, Rule], processed_a
     if unknown:
         raise ValueError(f"Rules for columns that are not conformed: {sorted(unknown)}")
 
+    joined: dict[str, Column] = {}
+    for name, rule in rules.items():
+        spellings = rule.spellings if isinstance(rule, Answer) else rule.values if isinstance(rule, Code) else {}
+        if _is_joined(spellings):
+            key, value = f"_{SPELLING}_{name}", f"_{VALUE}_{name}"
+            table = spelling_table(bronze.sparkSession, spellings).toDF(key, value)
+            # No hint: Spark broadcasts the table by its size, and else splits the partition of a frequent answer.
+            bronze = bronze.join(table, _text(rule.source) == F.col(key), "left")
+            joined[name] = F.col(value)
+
     def target(name: str, kind: str) -> Column:
         if name == "ano_pesquisa":
             value = F.lit(year)
+        elif name in joined:
+            value = rules[name].column(joined[name])
         elif name in rules:
             value = rules[name].column()
         else:
