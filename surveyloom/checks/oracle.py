@@ -6,7 +6,7 @@ statement starts from the respondent table derived from the base tables.
 
 from __future__ import annotations
 
-from surveyloom.fixtures.respondents import VARIATIONS
+from surveyloom.fixtures.respondents import RARE_SENIORITIES, VARIATIONS
 
 FOCUS = 2001
 AI_SINCE = 1996
@@ -678,4 +678,60 @@ VARIED_SQL = {
     )
 }
 
-ORACLE = {**GOLD_SQL, **KPI_SQL, **EXTRACT_SQL, **CHART_SQL, **OPERATOR_SQL, **STORAGE_SQL, **STORED_SQL, **VARIED_SQL}
+VARIED_SQL["varied_kpi_diversity_min10"] = VARIED_SQL["varied_kpi_diversity_min30"].replace(">= 30", ">= 10")
+_RARE = f"""{_ONCE},
+r AS (SELECT * REPLACE ({RARE_SENIORITIES} AS senioridade) FROM once)"""
+VARIED_SQL.update(
+    (f"varied_{name}", KPI_SQL[name].replace(RESPONDENTS, _RARE, 1))
+    for name in ("kpi_pay_by_seniority_min30", "kpi_ai_by_seniority_min30")
+)
+
+# --- cube, added editions, audit over runs, spellings ----------------------------------------
+
+_CUBE_KEYS = (
+    "ano_pesquisa, cargo_padronizado, senioridade, genero, regiao_moradia, modelo_trabalho_padronizado,"
+    " tempo_experiencia_historica, faixa_salarial_original, salario_ordem"
+)
+_CUBE_FLAGS = ("eh_gestor", *_TECH_NAMES, "usa_ia_generativa")
+_CUBE_ACCESS = ("ia_gratuita", "ia_paga_propria", "ia_paga_empresa", "ia_copilot")
+_CUBE_STATES = [
+    "COUNT(*) AS n",
+    *[f"COUNT({flag}) AS n_{flag}, {_flag_sum(flag)} AS hits_{flag}" for flag in _CUBE_FLAGS],
+    *[
+        f"COUNT({flag}) AS n_{flag}, "
+        f"CAST(COALESCE(SUM({flag}) FILTER (usa_ia_generativa IS NOT NULL), 0) AS BIGINT) AS hits_{flag}"
+        for flag in _CUBE_ACCESS
+    ],
+    "COUNT(salario_ponto_medio) AS n_salario_ponto_medio, SUM(salario_ponto_medio) AS sum_salario_ponto_medio",
+    *[
+        f"COUNT({name}) AS n_{name}, CAST(SUM({name}) AS BIGINT) AS sum_{name}"
+        for name in ("flag_ia_contraditoria", "quantidade_flags_qualidade")
+    ],
+]
+CUBE_SQL = {
+    "base_cube": using(select=f"SELECT {_CUBE_KEYS}, {', '.join(_CUBE_STATES)} FROM r GROUP BY {_CUBE_KEYS}"),
+    **{f"cube_{name}": sql for name, sql in GOLD_SQL.items() if name != "respondents"},
+    "exact_region_model_pay": using(
+        select=f"""SELECT regiao_moradia, modelo_trabalho_padronizado, COUNT(salario_ponto_medio) AS respondentes_ponto_medio,
+  round(AVG(salario_ponto_medio), 6) AS salario_medio_exato
+FROM r WHERE ano_pesquisa = {FOCUS} AND regiao_moradia IS NOT NULL AND modelo_trabalho_padronizado IS NOT NULL
+GROUP BY 1, 2"""
+    ),
+}
+GROWN_SQL = {
+    **{f"grown_{name}": sql.replace(RESPONDENTS, _TWICE, 1) for name, sql in GOLD_SQL.items() if name != "respondents"},
+    "grown_lake_audit": STORAGE_SQL["lake_audit"],
+}
+STORAGE_SQL["edition_audit_latest"] = STORAGE_SQL["edition_audit_log"]
+STORAGE_SQL["edition_audit_history"] = using(
+    _COPIES,
+    select="""SELECT ano_pesquisa, CAST(CASE WHEN ano_pesquisa = 2001 THEN 2 ELSE 3 END AS BIGINT) AS execucoes,
+  CAST((CASE WHEN ano_pesquisa = 2001 THEN 2 ELSE 3 END) - ano_pesquisa % 2 AS BIGINT) AS aprovadas,
+  ano_pesquisa % 2 = 1 AS registros_mudaram, 'OK' AS status
+FROM raw GROUP BY ano_pesquisa""",
+)
+STORAGE_SQL["conformed_spellings"] = """SELECT CASE WHEN c_custkey % 10 <> 0 THEN c_mktsegment ELSE '(sem grafia)' END AS cargo,
+  COUNT(*) AS respondentes, COUNT(DISTINCT o_orderkey) AS ids
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1"""
+
+ORACLE = {**CUBE_SQL, **GROWN_SQL, **GOLD_SQL, **KPI_SQL, **EXTRACT_SQL, **CHART_SQL, **OPERATOR_SQL, **STORAGE_SQL, **STORED_SQL, **VARIED_SQL}

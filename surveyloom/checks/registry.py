@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from dataclasses import replace
+from datetime import datetime, timedelta, timezone
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.fixtures.editions import REGIONS, WIDTH, raw_rows, write_editions
-from surveyloom.fixtures.respondents import FIXTURE_SETTINGS, load, respondents, varied_respondents
+from surveyloom.fixtures.respondents import (
+    FIXTURE_SETTINGS,
+    load,
+    respondents,
+    varied_respondents,
+    varied_seniorities,
+)
 from surveyloom.functions import money_label, percent_label, pt_count, pt_number, to_number
 from surveyloom.operators import audit
 from surveyloom.operators.duplicates import duplicate_profile, repeated_rows
@@ -24,10 +31,11 @@ from surveyloom.plans.extracts import build_extracts
 from surveyloom.plans.frames import Frames
 from surveyloom.plans.kpi_queries import KPI_QUERIES
 from surveyloom.session import fresh_folder
-from surveyloom.sinks.audit_log import read_runs
-from surveyloom.sinks.catalog import inventory
+from surveyloom.sinks.audit_log import append_run, compact_runs, history, latest_by_edition, new_run_id, read_runs
+from surveyloom.sinks.catalog import inventory, read_tables
+from surveyloom.sources.conform import Answer, Number, conform
 from surveyloom.sources.extract_files import EXTRACT_FILES, read_extract_files
-from surveyloom.vocabulary import AUDIT_TABLE, GENDERS, SENIORITIES, TECHNOLOGIES, WORK_MODELS
+from surveyloom.vocabulary import AUDIT_TABLE, GENDERS, SENIORITIES, TECHNOLOGIES, WORK_MODELS, Settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,6 +138,23 @@ PLANTED = 89
 IDENTITY = ["l_suppkey", "l_quantity", "l_discount", "l_returnflag"]
 
 
+def base_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mergeable cells behind all aggregate tables."""
+    return gold.base_cube(respondents(spark, sf_dir))
+
+
+def _from_cube(table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return gold.gold_from_cube(base_cube(spark, sf_dir), FIXTURE_SETTINGS)[table]
+
+    return run
+
+
+def exact_region_model_pay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean pay by region and work model in the focus year, from sums and not from rounded means of cells."""
+    return gold.exact_pay(base_cube(spark, sf_dir), ["regiao_moradia", "modelo_trabalho_padronizado"], FIXTURE_SETTINGS)
+
+
 def market_structure_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.market_structure_joined(respondents(spark, sf_dir))
 
@@ -241,6 +266,20 @@ def number_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files, catalog and audit log ------------------------------------------------------------
 
 
+def conformed_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers in as many spellings as there are customers, looked up in a table; a tenth of the spellings is unknown to it."""
+    customer = F.concat(F.lit(" "), "c_name", F.lit(" "))
+    known = load(spark, sf_dir, "customer").filter("c_custkey % 10 <> 0").select(customer.alias("grafia"), F.col("c_mktsegment").alias("valor"))
+    answers = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"), F.format_string("Customer#%09d", "o_custkey").alias("nome")
+    )
+    rows = conform(answers, 2001, {"id_respondente": Number("id"), "cargo_padronizado": Answer("nome", known)}, datetime.now(timezone.utc))
+    title = F.when(F.col("cargo_padronizado").startswith("Customer#"), "(sem grafia)").otherwise(F.col("cargo_padronizado"))
+    return rows.groupBy(title.alias("cargo")).agg(
+        F.count("*").alias("respondentes"), F.countDistinct("id_respondente").alias("ids")
+    )
+
+
 def _expected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the raw files must hold, from the rows they were written from."""
     counts = duplicate_profile(raw_rows(spark, sf_dir), keys=["edicao"])
@@ -263,6 +302,36 @@ def edition_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of three runs, the oldest archived: one found a row too few in odd editions, one missed edition 2001, one is whole."""
+    path = fresh_folder(spark, "audit-log")
+    editions = write_editions(spark, sf_dir)
+    lifecycle.validate_editions(spark, editions, path, _expected(spark, sf_dir))
+    stored = read_runs(spark, path)
+    wrong, start = F.col("ano_pesquisa") % 2 == 1, datetime(2020, 1, 1, tzinfo=timezone.utc)
+    first = stored.withColumns(
+        {"registros": F.col("registros") - wrong.cast("int"), "status": F.when(wrong, "DIVERGENTE").otherwise("OK")}
+    )
+    for i, run in enumerate((first, stored.filter("ano_pesquisa <> 2001"))):
+        at = start + timedelta(days=i)
+        stamped = run.withColumns({"id_execucao": F.lit(new_run_id(at)), "data_hora_processamento": F.lit(at)})
+        append_run(stamped, path)
+    compact_runs(spark, path, keep=2)
+    return read_runs(spark, path)
+
+
+def edition_audit_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the newest run that saw an edition found."""
+    return latest_by_edition(_runs(spark, sf_dir)).select(
+        "ano_pesquisa", "camada_origem", "registros", "colunas", "duplicados_excedentes", "status"
+    )
+
+
+def edition_audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each edition was audited and passed."""
+    return history(_runs(spark, sf_dir)).drop("ultima_aprovada")
+
+
 def conformed_editions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files of seven editions, stored, conformed by their own rules and unioned by name."""
     editions = lifecycle.store_raw(spark, write_editions(spark, sf_dir), fresh_folder(spark, "bronze"))
@@ -300,6 +369,30 @@ def _lake(spark: SparkSession, sf_dir: str) -> Frames:
     return _LAKES[key]
 
 
+_GROWN: dict[tuple[str, str], Frames] = {}
+
+
+def _grown_lake(spark: SparkSession, sf_dir: str) -> Frames:
+    """The published tables after the last edition was added to those of a run over the others."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GROWN:
+        database, location = f"surveyloom_{uuid4().hex[:12]}", fresh_folder(spark, "lake")
+        *editions, newest = write_editions(spark, sf_dir)
+        lifecycle.build_lake(spark, editions, database, location, REGIONS, FIXTURE_SETTINGS)
+        lifecycle.add_editions(spark, [newest], database, location, REGIONS, FIXTURE_SETTINGS)
+        _GROWN[key] = read_tables(spark, database, [*gold.GOLD_BUILDERS, AUDIT_TABLE])
+    return _GROWN[key]
+
+
+def _grown(table: str) -> Query:
+    """A table as any reader of the catalog finds it."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _grown_lake(spark, sf_dir)[table]
+
+    return run
+
+
 def _stored_kpi(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return KPI_QUERIES[name](_lake(spark, sf_dir), FIXTURE_SETTINGS)
@@ -341,9 +434,13 @@ def _varied_tables(spark: SparkSession, sf_dir: str) -> Frames:
     return gold.build_gold(varied_respondents(spark, sf_dir), FIXTURE_SETTINGS)
 
 
-def _varied_kpi(name: str) -> Query:
+def _varied_kpi(
+    name: str,
+    rows: Callable[[SparkSession, str], DataFrame] = varied_respondents,
+    settings: Settings = FIXTURE_SETTINGS,
+) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return KPI_QUERIES[name](_varied_tables(spark, sf_dir), FIXTURE_SETTINGS)
+        return KPI_QUERIES[name](gold.build_gold(rows(spark, sf_dir), settings), settings)
 
     return run
 
@@ -363,10 +460,23 @@ VARIED_KPIS = (
     "kpi_diversity_min30",
     "kpi_technology_by_title_year_min30",
 )
+# On further seniorities, of which some are rare; and one with a lower threshold.
+SENIORITY_KPIS = ("kpi_pay_by_seniority_min30", "kpi_ai_by_seniority_min30")
 VARIED_CHARTS = ("gender_share_stack", "market_top8", "pay_top8_min50", "work_model_share")
 VARIED_QUERIES = {
     **{f"varied_{registered}": _varied_kpi(KPI_NAMES[registered]) for registered in VARIED_KPIS},
     **{f"varied_{name}": _varied_chart(name) for name in VARIED_CHARTS},
+    **{f"varied_{registered}": _varied_kpi(KPI_NAMES[registered], varied_seniorities) for registered in SENIORITY_KPIS},
+    "varied_kpi_diversity_min10": _varied_kpi("diversity", settings=replace(FIXTURE_SETTINGS, min_cell=10)),
+}
+
+CUBE_QUERIES = {
+    "base_cube": base_cube,
+    **{
+        f"cube_{registered}": _from_cube(table)
+        for registered, table in zip([name for name in GOLD_QUERIES if name != "respondents"], gold.GOLD_BUILDERS)
+    },
+    "exact_region_model_pay": exact_region_model_pay,
 }
 
 OPERATOR_QUERIES = {
@@ -389,6 +499,9 @@ OPERATOR_QUERIES = {
 STORAGE_QUERIES = {
     "edition_profile_check": edition_profile_check,
     "edition_audit_log": edition_audit_log,
+    "edition_audit_latest": edition_audit_latest,
+    "edition_audit_history": edition_audit_history,
+    "conformed_spellings": conformed_spellings,
     "conformed_editions": conformed_editions,
     "kpi_conform_audit": kpi_conform_audit,
     "catalog_tables": catalog_tables,
@@ -405,6 +518,15 @@ STORED_QUERIES = {
     f"stored_{WEIGHTED}": _rounded(_stored_extract("regiao_trabalho"), "salario_medio_aproximado"),
 }
 
+# Tables of the catalog after an edition was added to a published run.
+GROWN_QUERIES = {
+    **{
+        f"grown_{registered}": _grown(table)
+        for registered, table in zip([name for name in GOLD_QUERIES if name != "respondents"], gold.GOLD_BUILDERS)
+    },
+    "grown_lake_audit": lambda spark, sf_dir: KPI_QUERIES["conform_audit"](_grown_lake(spark, sf_dir)),
+}
+
 QUERIES: dict[str, Query] = {
     **GOLD_QUERIES,
     **NAMED_QUERIES,
@@ -414,4 +536,6 @@ QUERIES: dict[str, Query] = {
     **STORAGE_QUERIES,
     **STORED_QUERIES,
     **VARIED_QUERIES,
+    **CUBE_QUERIES,
+    **GROWN_QUERIES,
 }

@@ -109,6 +109,17 @@ def varied_respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return respondents(spark, sf_dir).withColumns({name: F.expr(sql) for name, sql in VARIATIONS.items()})
 
 
+# Two further seniorities, with about thirty and about ten answers for each edition of the middle test size.
+RARE_SENIORITIES = (
+    "CASE WHEN id_respondente % 50 = 0 THEN 'Especialista' WHEN id_respondente % 150 = 1 THEN 'Estágio' ELSE senioridade END"
+)
+
+
+def varied_seniorities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The respondents with seniorities whose cells lie around the thresholds."""
+    return respondents(spark, sf_dir).withColumn("senioridade", F.expr(RARE_SENIORITIES))
+
+
 def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conformed row-level table.
 
