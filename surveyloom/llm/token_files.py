@@ -30,11 +30,9 @@ from surveyloom.session import fresh_folder
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 #: Bytes of text that are encoded together.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 #: Different parts of words whose ids a worker keeps, some 200 bytes each. A full store is emptied, which changes no result.
-KEPT_PARTS = 1 << 20
-#: Target bytes of text of a file.
-FILE_BYTES = 128 << 20
+KEPT_PARTS = 3 << 18
 #: Bytes of a stripe in memory; a task can start at any.
 STRIPE_BYTES = 16 << 20
 #: Rows between two entries of a row index; a Bloom filter is kept for as many rows.
@@ -238,18 +236,17 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, whol
     """Encode docs (doc_id, text) into ORC files below `path`/rows, and the sums of the files into `path`/files.
 
     Files follow each other in ascending doc_id order, as their rows do. A null doc_id comes last, rows that repeat a doc_id by a hash of
-    their text; a null text is empty and has the end id alone. `whole` is for vocabularies whose rules look across white space.
+    their text; a null text is empty and has the end id alone. There are as many files as `spark.sql.shuffle.partitions`. `whole` is for vocabularies whose rules look across white space.
     """
     with open(vocabulary or vocabulary_path(), encoding="utf-8") as file:
         rules = file.read()
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
+    files = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The last key deals out a doc_id that a large part of the rows repeat; its hash keeps rows of one text together otherwise.
     order = [F.col("doc_id").asc_nulls_last(), F.col("h"), F.col("row")]
     dealt = keyed.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(files, *order).sortWithinPartitions(*order)
     rows = dealt.select("doc_id", "text").mapInArrow(_encoded(rules, whole), _ROWS)
-    writer = rows.write.option("compression", "zstd").option("orc.bloom.filter.columns", "doc_id")
+    writer = rows.write.option("compression", "snappy").option("orc.bloom.filter.columns", "doc_id")
     writer.option("orc.stripe.size", str(STRIPE_BYTES)).option("orc.row.index.stride", str(INDEX_ROWS)).option("orc.bloom.filter.fpp", "0.01").orc(f"{path}/rows")
     stored = docs.sparkSession.read.orc(f"{path}/rows")
     sums = stored.groupBy("file").agg(
