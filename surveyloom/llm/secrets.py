@@ -6,6 +6,7 @@ A document is one row all the way: no explode, no shuffle, no Python. Positions
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,32 +25,77 @@ WINDOW = 20
 THRESHOLDS = {"hex": 3.0, "single case": 3.6, "mixed": 3.8}
 
 _EMPTY = "CAST(array() AS array<struct<start:int,rank:int,end:int,text:string>>)"
+#: Entries of an array, or code points of a text, that are handled together. What is appended one by one or searched from its
+#: beginning is never longer, so the cost of a text grows with its length and not with its square.
+BLOCK = 256
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once: an expression within a lambda would be computed anew for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Of an array of non-negative ints the running sums or maxima (`combine`; 0 is neutral), block by block."""
+    none = F.expr("CAST(array() AS array<int>)")
+
+    def walk(block: Column, start: Column) -> Column:
+        begin = F.struct(start.cast("int").alias("at"), none.alias("out"))
+
+        def step(state: Column, value: Column) -> Column:
+            at = combine(state["at"], value).cast("int")
+            return F.struct(at.alias("at"), F.concat(state["out"], F.array(at)).alias("out"))
+
+        return F.aggregate(block, begin, step, lambda state: state["out"])
+
+    def whole(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda at, value: combine(at, value).cast("int"))
+
+    def of_blocks(blocks: Column) -> Column:
+        def from_ends(ends: Column) -> Column:
+            start = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.element_at(ends, F.greatest(i, F.lit(1))))
+            return F.flatten(F.transform(blocks, lambda block, i: walk(block, start(i))))
+
+        return _once(walk(F.transform(blocks, whole), F.lit(0)), from_ends)
+
+    def blocked(kept: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(kept) - 1) / BLOCK).cast("int"))
+        return F.transform(places, lambda i: F.slice(kept, i * BLOCK + 1, F.lit(BLOCK)))
+
+    return _once(values, lambda kept: F.when(F.size(kept) == 0, none).otherwise(_once(blocked(kept), of_blocks)))
 
 
 def _positions(text: Column, pattern: str, rank: int) -> Column:
     """All leftmost matches as (start, rank, end, text), from the lengths of the matches and of what lies between them."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.expr(_EMPTY).alias("out"))
 
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["hit"])
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), pair["hit"].alias("text"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+    def spans(found: Column) -> Column:
+        pairs = F.zip_with(
+            found, F.slice(between, F.lit(1), F.size(found)), lambda hit, gap: F.struct(hit.alias("hit"), F.length(gap).alias("gap"))
+        )
+
+        def placed(kept: Column) -> Column:
+            ends = running(F.transform(kept, lambda pair: pair["gap"] + F.length(pair["hit"])), lambda a, b: a + b)
+            return F.zip_with(
+                kept,
+                ends,
+                lambda pair, end: F.struct(
+                    (end - F.length(pair["hit"])).alias("start"), F.lit(rank).alias("rank"), end.alias("end"), pair["hit"].alias("text")
+                ),
+            )
+
+        return F.when(F.size(found) == 0, F.expr(_EMPTY)).otherwise(_once(pairs, placed))
 
-    pairs = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda h, g: F.struct(h.alias("hit"), g.alias("gap")))
-    return F.when(F.size(found) == 0, F.expr(_EMPTY)).otherwise(F.aggregate(pairs, start, step, lambda s: s["out"]))
+    return _once(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
 
 
 def best_window_entropy(value: Column, window: int = WINDOW) -> Column:
     """The highest Shannon entropy (bits a character) of any `window` consecutive ASCII characters.
 
-    One pass: the counts of the window are the characters of a string, of which one place changes when a character enters
-    and one when a character leaves; the sum of n log n changes with them.
+    One pass over the characters: the counts of the window are the characters of a string, of which one place changes when a
+    character enters and one when a character leaves; the sum of n log n changes with them. The window itself is in the state.
     """
     logs = F.array(*(F.lit(n * math.log2(n) if n else 0.0) for n in range(window + 2)))
-    chars = F.split(value, "")
 
     def log_of(n: Column) -> Column:
         return F.element_at(logs, n + 1)
@@ -60,12 +106,12 @@ def best_window_entropy(value: Column, window: int = WINDOW) -> Column:
     def put(counts: Column, code: Column, n: Column) -> Column:
         return F.overlay(counts, F.char(n + 48), code + 1, F.lit(1))
 
-    def step(state: Column, i: Column) -> Column:
-        code = F.ascii(F.element_at(chars, i))
-        gone = F.ascii(F.element_at(chars, i - window))
+    def step(state: Column, char: Column) -> Column:
+        code, full = F.ascii(char), F.length(state["last"]) == window
+        gone = F.ascii(F.substring(state["last"], F.lit(1), F.lit(1)))
         before = count(state["counts"], gone)
         left = F.when(
-            i > window,
+            full,
             F.struct(
                 put(state["counts"], gone, before - 1).alias("counts"),
                 (state["sum"] - log_of(before) + log_of(before - 1)).alias("sum"),
@@ -75,17 +121,19 @@ def best_window_entropy(value: Column, window: int = WINDOW) -> Column:
         def enter(kept: Column) -> Column:
             n = count(kept["counts"], code)
             total = kept["sum"] - log_of(n) + log_of(n + 1)
-            bits = F.when(i >= window, F.lit(math.log2(window)) - total / window).otherwise(F.lit(0.0))
+            last = F.concat(F.when(full, F.substring(state["last"], F.lit(2), F.lit(window - 1))).otherwise(state["last"]), char)
+            bits = F.when(F.length(last) == window, F.lit(math.log2(window)) - total / window).otherwise(F.lit(0.0))
             return F.struct(
                 put(kept["counts"], code, n + 1).alias("counts"),
                 total.alias("sum"),
                 F.greatest(state["best"], bits).alias("best"),
+                last.alias("last"),
             )
 
-        return F.element_at(F.transform(F.array(left), enter), 1)
+        return _once(left, enter)
 
-    begin = F.struct(F.lit("0" * 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(value)), begin, step, lambda s: s["best"])
+    begin = F.struct(F.lit("0" * 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"), F.lit("").alias("last"))
+    return F.aggregate(F.slice(F.split(value, ""), F.lit(1), F.length(value)), begin, step, lambda s: s["best"])
 
 
 def _suspicious(span: Column) -> Column:
@@ -109,10 +157,19 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     assigned = F.filter(_positions(text, ASSIGN, 0), lambda s: F.length(F.regexp_extract(s["text"], ASSIGN, 2)) >= 6)
-    found = docs.withColumn("secret_spans", F.concat(assigned, _positions(text, ACCESS, 1), _positions(text, HEX, 2)))
-    inside = lambda s: F.exists("secret_spans", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
-    added = F.filter(_positions(text, CANDIDATE, 3), lambda s: _suspicious(s) & ~inside(s))
-    return found.withColumn("secret_spans", F.array_sort(F.concat("secret_spans", added)))
+    every = F.concat(assigned, _positions(text, ACCESS, 1), _positions(text, HEX, 2), _positions(text, CANDIDATE, 3))
+
+    def outside(spans: Column) -> Column:
+        # The furthest end of the base spans that begin no later: a candidate that ends beyond it is in none of them.
+        reach = running(F.transform(spans, lambda s: F.when(s["rank"] < 3, s["end"]).otherwise(0)), lambda a, b: F.greatest(a, b))
+        judged = F.zip_with(spans, reach, lambda s, end: F.struct(s.alias("span"), _kept(s, end).alias("kept")))
+        return F.transform(F.filter(judged, lambda j: j["kept"]), lambda j: j["span"])
+
+    return docs.withColumn("secret_spans", _once(F.array_sort(every), outside))
+
+
+def _kept(span: Column, reach: Column) -> Column:
+    return F.when(span["rank"] < 3, F.lit(True)).when(span["end"] <= reach, F.lit(False)).otherwise(_suspicious(span))
 
 
 def _joined(spans: Column) -> Column:
@@ -144,18 +201,33 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     Rows without spans are unchanged, null texts included.
     """
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    spans, size = F.col("secret_spans"), F.length("text")
+    # Code points are counted from the beginning of a block and not of the text.
+    blocks = F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def piece(kept: Column, low: Column, high: Column) -> Column:
+        """Code points low to high of a text in blocks."""
+        places = F.sequence(F.floor(low / BLOCK).cast("int"), F.floor((high - 1) / BLOCK).cast("int"))
+
+        def part(i: Column) -> Column:
+            first = F.greatest(low - i * BLOCK, F.lit(0))
+            return F.substring(F.element_at(kept, i + 1), first + 1, F.least(high - i * BLOCK, F.lit(BLOCK)) - first)
+
+        return F.when(low < high, F.array_join(F.transform(places, part), "")).otherwise("")
+
+    def rebuilt(kept: Column) -> Column:
+        def from_ends(ends: Column) -> Column:
+            def before(span: Column, i: Column) -> Column:
+                # The end of all spans before this one; an overlapping one adds nothing.
+                at = F.when(i == 0, F.lit(0)).otherwise(F.element_at(ends, F.greatest(i, F.lit(1))))
+                return F.when(span["start"] >= at, F.concat(piece(kept, at, span["start"]), F.lit(mark))).otherwise("")
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(F.col("text"), state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        out = F.when(span["start"] >= state["at"], F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
+            return F.concat(F.array_join(F.transform(spans, before), ""), piece(kept, F.element_at(ends, -1), size))
 
-    def finish(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(F.col("text"), state["at"] + 1, F.length("text")))
+        return _once(running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b)), from_ends)
 
     found = F.size("secret_spans") > 0
-    text = F.when(found, F.aggregate("secret_spans", start, step, finish)).otherwise(F.col("text"))
+    text = F.when(found, _once(blocks, rebuilt)).otherwise(F.col("text"))
     clean = scan(docs).withColumn("text", text)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.when(found, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +73,55 @@ def test_redaction(spark, odd_docs, no_docs):
 def test_no_python_in_the_plan(docs):
     plan = secrets.report(secrets.scan(docs))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+@pytest.mark.parametrize("size", [0, 1, 255, 256, 257, 1000])
+def test_running_sums_and_maxima(spark, size):
+    values = [random.Random(size + i).randint(0, 50) for i in range(size)]
+    frame = spark.createDataFrame([(values,)], "v array<int>")
+    row = frame.select(secrets.running(F.col("v"), lambda a, b: a + b), secrets.running(F.col("v"), lambda a, b: F.greatest(a, b))).first()
+    assert row[0] == [sum(values[: i + 1]) for i in range(size)]
+    assert row[1] == [max(values[: i + 1]) for i in range(size)]
+
+
+def _redacted(text, spans):
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], "[SECRET]"]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def test_long_candidates_and_many_secrets_take_linear_time(spark):
+    rng = random.Random(1)
+    signs = "BCDFGHJKLMNPQRSTVWZbcdfghjkmnpqrstvwz23456789+"  # spells no word of the allow-list
+    image = "".join(rng.choice(signs) for _ in range(1_000_000))
+    many = " ".join(f"é token={rng.getrandbits(64):016x} {rng.getrandbits(128):032x}" for _ in range(50_000))
+    frame = spark.createDataFrame([(1, f"data:{image}"), (2, many), (3, "AKIA" * 300_000)], "doc_id long, text string")
+    start = time.perf_counter()
+    rows = {r.doc_id: r for r in secrets.report(secrets.scan(frame)).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact(frame).collect()}
+    assert time.perf_counter() - start < 150
+    assert rows[1].spans == f"entropy:5:{5 + len(image)}" and clean[1] == "data:[SECRET]"
+    spans = base_spans(many)
+    assert rows[2].n_assign == 50_000 and rows[2].base_sha256 == digest(spans)
+    assert clean[2] == _redacted(many, [(a, b) for a, _, b in spans])
+    assert rows[3].n_access == 1
+
+
+def test_random_texts_with_overlapping_spans(spark):
+    rng = random.Random(8)
+    bits = ["token=", "AKIA", "ABCDEFGH1234", "0123456789abcdef", "deadbeef12", " ", "é", "𝒳", "\n", "xY7", "q9Zr-", "'"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 400))) for _ in range(200)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in secrets.report(secrets.scan(frame)).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact(frame).collect()}
+    for i, text in enumerate(texts):
+        assert rows[i].base_sha256 == digest(base_spans(text))
+        spans = [tuple(map(int, s.split(":")[1:])) for s in rows[i].spans.split(",") if s]
+        added = [s for s in rows[i].spans.split(",") if s.startswith("entropy")]
+        for span in added:
+            a, b = map(int, span.split(":")[1:])
+            assert not any(x <= a and b <= y for x, _, y in base_spans(text))
+        assert clean[i] == _redacted(text, spans)
