@@ -2,8 +2,9 @@
 
 A page is a sequence of text blocks. A linear classifier over the tags, names and links of a block gives the cost of calling it
 content or boilerplate (terminal capacities); neighbours and blocks whose elements have one parent are tied by smoothness edges.
-The minimum cut, found by max-flow, is the labelling of least total cost. Only what is never read as text (scripts, styles, forms,
-hidden elements) is decided beforehand; everything else can be outweighed.
+The minimum cut, found by max-flow, is the labelling of least total cost. What is never read as text (scripts, styles, forms,
+hidden elements) and what its tag, role or name lists as menu, notice, advert, comment or the like is boilerplate for certain, unless
+the listed element is a wrapper around the page's article; everything else can be outweighed.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import re
 from collections import Counter, deque
 from collections.abc import Iterator, Set
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,10 +41,11 @@ CONTENT_NAMES = set("article articlebody body content entry main post story text
 
 #: Capacities are in hundredths of a nat. CERTAIN outweighs any sum of the others.
 CERTAIN = 10**9
-#: Weights of the classifier: inside an article or main element (outside, where a page has one, the same against it), inside an
-#: element named as content (where a page has no main), a heading, a paragraph, a character of text (up to 200), the share of text
-#: in links (of a heading, which may link to its own page), a listed tag, role or name around the block, and the bias.
-IN_MAIN, IN_CONTENT, HEADING, PARAGRAPH, CHARACTER, LINKED, LINKED_HEADING, LISTED, BIAS = 250, 300, 60, 60, 2, -600, -300, -720, -120
+#: Weights of the classifier: inside an article or main element, outside it where a page has one (more so if that holds most of the
+#: page's text), inside an element named as content (where a page has no main), a heading, a paragraph, a character of text (up
+#: to 200), the share of text in links (of a heading, which may link to its own page), and the bias.
+IN_MAIN, IN_CONTENT, HEADING, PARAGRAPH, CHARACTER, LINKED, LINKED_HEADING, BIAS = 250, 300, 60, 60, 2, -600, -300, -120
+OUTSIDE, OUTSIDE_MOST = -250, -450
 #: A listed element around all of main and most of the text of a page: its name tells little.
 WRAPPER = -250
 #: A cut between neighbours, and between neighbours whose elements have one parent.
@@ -60,8 +63,10 @@ class Element:
     never: bool
     main: bool
     content: bool
-    #: Numbers of the listed elements that it is in.
-    listed: tuple[int, ...] = ()
+    #: The innermost listed element that it is in or is (0: none).
+    listed: int = 0
+    #: The parent of the innermost element that ends blocks.
+    place: int = 0
 
 
 @dataclass(slots=True)
@@ -70,7 +75,7 @@ class Block:
     never: bool
     main: bool
     content: bool
-    listed: tuple[int, ...]
+    listed: int
     heading: bool
     paragraph: bool
     pieces: list[str] = field(default_factory=list)
@@ -78,6 +83,38 @@ class Block:
     text: str = ""
 
 
+class Page(NamedTuple):
+    """Text blocks in page order, and each listed element with the listed element around it (0: none), outer ones first."""
+
+    blocks: list[Block]
+    listed: dict[int, int]
+
+
+class _Open:
+    """The open elements. What is asked of them takes no longer in a deep page: the places of each tag are kept."""
+
+    def __init__(self) -> None:
+        self.stack = [Element("", 0, 0, False, False, False)]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.tag, []).append(len(self.stack))
+        self.stack.append(element)
+
+    def has(self, *tags: str) -> bool:
+        return any(self.places.get(tag) for tag in tags)
+
+    def _last(self, tags: tuple[str, ...]) -> int:
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
+
+    def close(self, tags: tuple[str, ...], scope: tuple[str, ...]) -> None:
+        """End the innermost element of `tags` and all within it, unless an element of `scope` stands between."""
+        at = self._last(tags)
+        if at > self._last(scope):
+            while len(self.stack) > at:
+                self.places[self.stack.pop().tag].pop()
+
+
 def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
@@ -95,35 +132,27 @@ def _element(tag: str, source: str, number: int, parent: Element) -> Element:
         content = content or bool(names & CONTENT_NAMES and not page)
     # The header of a page is not the header of its article.
     listed = listed or (tag == "header" and not main)
-    return Element(tag, number, parent.number, never, main, content, (*parent.listed, number) if listed else parent.listed)
+    place = parent.place if tag in INLINE else parent.number
+    return Element(tag, number, parent.number, never, main, content, number if listed else parent.listed, place)
 
 
-def blocks(source: str) -> list[Block]:
-    """Text blocks in page order; tags that only style text do not end a block, every other tag does."""
-    root = Element("", 0, 0, False, False, False)
-    stack, out, current, number = [root], [], None, 0
-
-    def close(tags: tuple[str, ...], scope: tuple[str, ...]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in scope:
-                return
+def read_page(source: str) -> Page:
+    """The text blocks of a page; tags that only style text do not end a block, every other tag does."""
+    open_, out, current, number = _Open(), [], None, 0
+    within: dict[int, int] = {}
+    close = open_.close
 
     def add(text: str) -> None:
         nonlocal current
-        top = stack[-1] if stack[-1].tag not in INLINE else next((e for e in reversed(stack) if e.tag not in INLINE), root)
-        never, listed = stack[-1].never, stack[-1].listed
-        if current is None or current.never != never or current.listed != listed:
+        top = open_.stack[-1]
+        if current is None or current.never != top.never or current.listed != top.listed:
             if not text.strip():
                 return
-            tags = {e.tag for e in stack}
-            current = Block(top.parent, never, stack[-1].main, stack[-1].content, listed, not HEADINGS.isdisjoint(tags), "p" in tags)
+            current = Block(top.place, top.never, top.main, top.content, top.listed, open_.has(*HEADINGS), open_.has("p"))
             out.append(current)
-        decoded = text if never else html.unescape(text)
+        decoded = text if top.never else html.unescape(text)
         current.pieces.append(decoded)
-        if not never and any(e.tag == "a" for e in stack):
+        if not top.never and open_.has("a"):
             current.linked += len(decoded.strip())
 
     at = 0
@@ -145,10 +174,7 @@ def blocks(source: str) -> list[Block]:
         if tag not in INLINE:
             current = None
         if found[1]:
-            if tag == "p" and not any(e.tag == "p" for e in stack):
-                continue
-            if any(e.tag == tag for e in stack):
-                close((tag,), ("table",) if tag not in ("table", "body", "html") else ())
+            close((tag,), ("table",) if tag not in ("table", "body", "html") else ())
             continue
         if tag in ENDS_PARAGRAPH:
             close(("p",), ("button", "table", "td", "th", "object"))
@@ -164,32 +190,56 @@ def blocks(source: str) -> list[Block]:
         if tag in VOID:
             continue
         number += 1
-        stack.append(_element(tag, found[3], number, stack[-1]))
+        parent = open_.stack[-1]
+        open_.push(_element(tag, found[3], number, parent))
+        if open_.stack[-1].listed == number:
+            within[number] = parent.listed
     for block in out:
         block.text = " ".join("".join(block.pieces).split())
-    return [b for b in out if b.text]
+    return Page([b for b in out if b.text], within)
+
 
+def wrappers(page: Page) -> set[int]:
+    """Listed elements that hold all of main and more than half of the text outside links, and lie in no other listed one but such.
 
-def wrappers(found: list[Block]) -> set[int]:
-    """The listed elements that hold all of main and more than half of the text outside links."""
-    shown = [b for b in found if not b.never]
+    The name of such an element (`with-sidebar`) tells little. 0, no listed element, is one of them.
+    """
     plain, mains = Counter(), Counter()
+    for block in page.blocks:
+        if not block.never:
+            plain[block.listed] += max(len(block.text) - block.linked, 0)
+            mains[block.listed] += block.main
+    all_plain, all_mains = sum(plain.values()), sum(mains.values())
+    for number, around in reversed(page.listed.items()):
+        plain[around] += plain[number]
+        mains[around] += mains[number]
+    out = {0}
+    for number, around in page.listed.items():
+        if around in out and 2 * plain[number] > all_plain and mains[number] == all_mains:
+            out.add(number)
+    return out
+
+
+def outside_weight(page: Page) -> int | None:
+    """What speaks against a block outside main; None if the page has no main."""
+    shown = [b for b in page.blocks if not b.never]
+    if not any(b.main for b in shown):
+        return None
+    plain = [0, 0]
     for block in shown:
-        for number in (*block.listed, -1):
-            plain[number] += max(len(block.text) - block.linked, 0)
-            mains[number] += block.main
-    return {n for n in plain if n >= 0 and 2 * plain[n] > plain[-1] and mains[n] == mains[-1]}
+        plain[block.main] += max(len(block.text) - block.linked, 0)
+    return OUTSIDE_MOST if plain[1] > plain[0] else OUTSIDE
 
 
-def evidence(block: Block, has_main: bool, around: Set[int] = frozenset()) -> int:
+def evidence(block: Block, outside: int | None, around: Set[int] = frozenset({0})) -> int:
     """Hundredths of a nat in favour of content; `around` are the wrappers of the page."""
-    if block.never:
+    if block.never or block.listed not in around:
         return -CERTAIN
     size = len(block.text)
     score = BIAS + CHARACTER * min(size, 200) + (LINKED_HEADING if block.heading else LINKED) * min(block.linked, size) // size
-    score += (IN_MAIN if block.main else -IN_MAIN) if has_main else IN_CONTENT * block.content
+    score += IN_CONTENT * block.content if outside is None else (IN_MAIN if block.main else outside)
     if block.listed:
-        score += WRAPPER if around.issuperset(block.listed) else LISTED
+        score += WRAPPER
     return score + HEADING * block.heading + PARAGRAPH * block.paragraph
 
 
@@ -249,14 +299,13 @@ class Flow:
         return [x >= 0 for x in level]
 
 
-def content_blocks(found: list[Block]) -> list[bool]:
+def content_blocks(page: Page) -> list[bool]:
     """Which blocks are content: the source side of the minimum cut."""
-    has_main = any(b.main and not b.never for b in found)
-    around = wrappers(found)
+    outside, around, found = outside_weight(page), wrappers(page), page.blocks
     flow = Flow(len(found) + 2)
     last: dict[int, int] = {}
     for i, block in enumerate(found):
-        score = evidence(block, has_main, around)
+        score = evidence(block, outside, around)
         flow.connect(0, i + 2, max(score, 0), 0) if score >= 0 else flow.connect(i + 2, 1, -score, 0)
         if i:
             flow.connect(i + 1, i + 2, NEIGHBOUR, NEIGHBOUR)
@@ -268,8 +317,8 @@ def content_blocks(found: list[Block]) -> list[bool]:
 
 def main_text(source: str | None) -> str:
     """The content blocks of a page, one on a line."""
-    found = blocks(source or "")
-    return "\n".join(b.text for b, keep in zip(found, content_blocks(found)) if keep)
+    page = read_page(source or "")
+    return "\n".join(b.text for b, keep in zip(page.blocks, content_blocks(page)) if keep)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -2,12 +2,15 @@ import html
 import itertools
 import random
 import re
+import time
 
 import pytest
 
 from surveyloom.llm import html_extract
 from surveyloom.llm.html_extract import Flow, main_text
 
+PROSE = "Some words about a long matter that goes on and on, without a link and with a full stop at the end of it. " * 3
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header><h1>Site</h1></header><div class="cookie-notice">We use cookies</div><nav><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></nav>
 <div id="content"><article><header><h1>Real &amp; title</h1></header><p>First <b>para</b> with <a href=1>link</a>
@@ -69,13 +72,12 @@ def test_odd_pages(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
-PROSE = "Some words about a long matter that goes on and on, without a link and with a full stop at the end of it. " * 3
 
 
 def _lines(body):
-    found = html_extract.blocks(f"<body>{body}</body>")
-    has_main = any(b.main for b in found)
-    alone = [b.text for b in found if html_extract.evidence(b, has_main, html_extract.wrappers(found)) > 0]
+    page = html_extract.read_page(f"<body>{body}</body>")
+    outside, around = html_extract.outside_weight(page), html_extract.wrappers(page)
+    alone = [b.text for b in page.blocks if html_extract.evidence(b, outside, around) > 0]
     return main_text(f"<body>{body}</body>").split("\n"), alone
 
 
@@ -86,13 +88,41 @@ def test_an_article_does_not_decide_alone():
     assert lines == ["Title of it", prose, "End.", tail.strip(), tail.strip()]
 
 
+LISTED = ("advert", "comment", "cookie-notice", "newsletter", "notice", "related", "social share", "sidebar", "promoBox")
+
+
+@pytest.mark.parametrize("name", LISTED)
+def test_listed_names_go_wherever_they_are(name):
+    """However long they are and whatever stands around them, by class, id, tag or role, in paragraphs, sections and lists."""
+    prose, other = PROSE.strip(), "Long words of another kind that nobody asked for and that stand amid the article. " * 5
+    for inner in (f"<p class='{name}'>{other}</p>", f"<div id='{name}'><p>{other}</p><p>{other}</p></div>", f"<aside><p>{other}</p></aside>", f"<ul class='x {name}'><li>{other}<li>{other}</ul>"):
+        assert _lines(f"<article><p>{prose}</p>{inner}<p>{prose}</p></article>")[0] == [prose, prose]
+        # Without a main the most of the text has to be the article's, or else the listed element could be its wrapper.
+        assert _lines(f"<div><p>{prose}</p><p>{prose}</p>{inner}<p>{prose}</p></div>")[0] == [prose] * 3
+
+
 def test_the_cut_changes_labels_of_an_article():
-    prose, short = PROSE.strip(), "A listed note of about a hundred and eighty letters stands between two paragraphs of the article and belongs to them, as its neighbours say and not the name of its class alone does."
-    article = f"<article><p>{prose}</p><p class=notice>{short}</p><p>{prose}</p></article>"
-    lines, alone = _lines(article)
+    prose = PROSE.strip()
+    short = "A few words."
+    lines, alone = _lines(f"<div><p>{prose}</p><p>{short}</p><p>{prose}</p></div>")
     assert lines == [prose, short, prose] and alone == [prose, prose]
-    # The same note away from the paragraphs goes.
-    assert _lines(f"<article><p>{prose}</p><div><p>{prose}</p></div></article><div class=notice>{short}</div>")[0] == [prose, prose]
+    # The same words away from the paragraphs go.
+    assert _lines(f"<div><p>{prose}</p><p>{prose}</p></div><div><div>{short}</div></div>")[0] == [prose, prose]
+
+
+def test_text_beside_a_main_that_holds_most_of_the_page_goes():
+    prose, beside = PROSE.strip(), "Words in an unlisted element beside the article, for long enough to be read as text of its own. " * 2
+    assert _lines(f"<main><h1>Title</h1><p>{prose}</p><p>{prose}</p></main><div><p>{beside}</p></div>")[0] == ["Title", prose, prose]
+
+
+@pytest.mark.parametrize("source", [
+    "<div class=ad>" * 20_000 + "x", "<div>" * 20_000 + "x", "<p>word</p>" * 20_000, "<b>x" * 20_000, "<ul><li>x" * 10_000,
+    "<p><table><tr><td>" * 5_000 + "x", "<a href=x>y" * 20_000, "<div class=ad>y<p>x</p>" * 10_000, "<main>" + f"<p>{PROSE}</p><p>x</p>" * 4_000,
+])
+def test_deep_and_long_pages_take_linear_time(source):
+    start = time.perf_counter()
+    main_text(source)
+    assert time.perf_counter() - start < 10
 
 
 def test_a_listed_wrapper_keeps_its_article():
