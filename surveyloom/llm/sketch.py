@@ -2,7 +2,7 @@
 
 A sketch keeps every shingle hash below a fixed fraction of all hashes, so its size follows the text, and its LEAST least hashes
 in any case, so a short text is kept whole. The sketches of parts merge to the sketch of the whole. Two sketches compare below
-the smaller of their limits; two texts at hand compare by all their shingles.
+the smaller of their limits, so what they say of two texts follows from the two fingerprints alone.
 """
 
 from __future__ import annotations
@@ -23,19 +23,13 @@ SIZE = 5
 FRACTION = 8
 #: So many least hashes are kept in any case.
 LEAST = 64
-#: Documents of a part of the order by doc_id.
-PART_ROWS = 4096
+#: Ids that are drawn for each partition, to cut the order by doc_id into even ranges; a small table has fewer partitions.
+DRAWN, LEAST_ROWS = 40, 64
 
 _LIMIT = np.uint64(2**64 // FRACTION)
 _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-class Sketch(np.ndarray):
-    """Kept hashes; `whole` are all hashes of a text at hand, or None."""
-
-    whole: np.ndarray | None = None
-
-
 def sketch(hashes: np.ndarray) -> np.ndarray:
     """Sorted distinct hashes below the limit, and the LEAST least ones."""
     every = np.unique(hashes)
@@ -59,9 +53,7 @@ def sketches(texts: list[str], size: int = SIZE) -> list[np.ndarray]:
         own = offsets[low : high + 1]
         values, first = shingles(words(data[own[0] : own[-1]], own - own[0], EXACT_WORDS), size)
         for i in range(high - low):
-            whole = np.unique(values[first[i] : first[i + 1]])
-            out.append(sketch(whole).view(Sketch))
-            out[-1].whole = whole
+            out.append(sketch(values[first[i] : first[i + 1]]))
     return out
 
 
@@ -77,17 +69,15 @@ def read(fingerprint: str) -> np.ndarray:
 def containment(a: np.ndarray, b: np.ndarray) -> float:
     """Share of the smaller shingle set that lies in the other; 1 if both are empty, 0 if one is.
 
-    It is exact for texts at hand and for sketches that are whole texts. Otherwise it is estimated from the hashes below both
-    limits, and NaN where the smaller set has none there.
+    It is exact for sketches that are whole texts. Otherwise it is estimated from the hashes below both limits, and 0 where the
+    smaller set has none there: nothing shows that they have anything in common.
     """
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    one, other = getattr(a, "whole", None), getattr(b, "whole", None)
-    if one is None or other is None:
-        end = min(limit(a), limit(b))
-        one, other = (x if end == 2**64 else x[: np.searchsorted(x, np.uint64(end))] for x in (np.asarray(a), np.asarray(b)))
+    end = min(limit(a), limit(b))
+    one, other = (x if end == 2**64 else x[: np.searchsorted(x, np.uint64(end))] for x in (a, b))
     least = min(len(one), len(other))
-    return len(np.intersect1d(one, other, assume_unique=True)) / least if least else float("nan")
+    return len(np.intersect1d(one, other, assume_unique=True)) / least if least else 0.0
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -107,49 +97,50 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _bounds(docs: DataFrame) -> np.ndarray:
-    rows = docs.count()
-    parts = max(1, -(-rows // PART_ROWS))
-    if parts == 1:
+def _bounds(ids: DataFrame) -> np.ndarray:
+    """Ids that cut the table into ranges of about as many rows, one for each partition of a shuffle."""
+    rows = ids.count()
+    parts = min(int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // LEAST_ROWS))
+    if parts < 2:
         return np.zeros(0)
-    found = docs.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.25 / parts)
-    return np.unique(np.array(found))
+    drawn = ids.filter("doc_id IS NOT NULL").sample(min(1.0, DRAWN * parts / rows), seed=5).toArrow().column(0).to_numpy()
+    return np.unique(np.quantile(drawn, np.arange(1, parts) / parts, method="lower")) if len(drawn) else np.zeros(0)
 
 
 def in_sequence(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) with part and helper, sorted inside partitions so that each row is followed by its successor.
 
-    The order is doc_id descending, nulls last, equal ids by text. It is cut into parts at quantiles; the first rows of a part
-    are dealt to the part before it once more, as its helpers (the first part's to the last). The driver holds one bound and
-    one id for each part.
+    The order is doc_id descending, nulls last, equal ids by text. It is cut into ranges, one for each partition; the first rows of
+    a range are dealt to the range before it once more, as its helpers (the first range's to the last). The driver holds
+    one bound and one id for each partition, as a sort does.
     """
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     bounds = _bounds(ids)
 
     def part_of(numbers: pd.Series) -> np.ndarray:
         low = pd.isna(numbers).to_numpy()
-        place = np.searchsorted(bounds, numbers.fillna(0).to_numpy(np.float64), side="right")
+        place = np.searchsorted(bounds, numbers.fillna(0).to_numpy(np.int64), side="right")
         return len(bounds) - np.where(low, 0, place)
 
     @F.pandas_udf("int")
     def part(numbers: pd.Series) -> pd.Series:
         return pd.Series(part_of(numbers))
 
-    heads = {p: head for p, head in ids.groupBy(part("doc_id").alias("part")).agg(F.max("doc_id")).collect()}
-    order = sorted(heads)
-    before = {p: order[i - 1] for i, p in enumerate(order)}
+    found = ids.groupBy(part("doc_id").alias("part")).agg(F.max("doc_id").alias("head")).orderBy("part").collect()
+    heads = {p: head for p, head in found}
+    place = {p: i for i, p in enumerate(heads)}
 
     @F.pandas_udf("array<int>")
     def dealt(numbers: pd.Series) -> pd.Series:
         missing = pd.isna(numbers)
         return pd.Series([
-            [p, before[p]] if (heads[p] is None if none else heads[p] == n) else [p]
+            [place[p], (place[p] - 1) % len(place)] if (heads[p] is None if none else heads[p] == n) else [place[p]]
             for p, n, none in zip(part_of(numbers).tolist(), numbers.fillna(0).astype("int64").tolist(), missing.tolist())
         ])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("dealt", dealt("doc_id"))
     rows = rows.select("doc_id", "text", F.posexplode("dealt").alias("helper", "part"))
-    return rows.repartition(len(order) or 1, "part").sortWithinPartitions("part", "helper", F.col("doc_id").desc_nulls_last(), "text")
+    return rows.repartitionById(len(place) or 1, "part").sortWithinPartitions("part", "helper", F.col("doc_id").desc_nulls_last(), "text")
 
 
 def edit_report(docs: DataFrame) -> DataFrame:
