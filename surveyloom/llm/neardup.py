@@ -23,8 +23,9 @@ from surveyloom.llm.text import SPACED_WORDS, mix, row_groups, shingles, text_by
 
 #: 36 bands of 5 minima: a pair at 0.8 misses all of them with probability 6e-7.
 BANDS, ROWS = 36, 5
-#: Signatures are compared by one byte of each minimum; 0.12 is five standard errors below the threshold.
-SLACK = 0.12
+#: Signatures are compared by one byte of each minimum. With 180 minima a pair at 0.8 has a standard error of 0.03, so it falls below
+#: the slack of 0.17 (5.7 of them) with probability 2e-8, less than it misses all bands.
+SLACK = 0.17
 #: Bits of the filter that tells which documents need their full sets.
 FILTER_BITS = 23
 #: 64-bit words that describe the difference of a set from its hub's (a power of two).
