@@ -106,7 +106,12 @@ def read_records(stream: BinaryIO, chunk: int = 1 << 16) -> Iterator[Record]:
         yield _parse(b"".join(parts))
 
 
+class DamagedRecord(ValueError):
+    """A block or payload does not have the length or digest that its record names."""
+
+
 def _pages(records: Iterator[Record]) -> Iterator[tuple]:
+    """Size and digest of a response are computed from the payload that was read; a revisit has those its record names."""
     for headers, block, ok in records:
         kind = headers.get("warc-type")
         if kind not in ("response", "revisit"):
@@ -116,7 +121,9 @@ def _pages(records: Iterator[Record]) -> Iterator[tuple]:
         named = headers["warc-payload-digest"]
         if kind == "response":
             ok = ok and len(payload) == size and _digest(payload) == named
-        digest = base64.b32decode(named.removeprefix("sha1:")).hex()
+            size, digest = len(payload), hashlib.sha1(payload).hexdigest()
+        else:
+            digest = base64.b32decode(named.removeprefix("sha1:")).hex()
         yield (_page_id(headers.get("warc-record-id")), headers.get("warc-target-uri"), kind, _page_id(headers.get("warc-refers-to")), size, digest, ok)
 
 
@@ -169,8 +176,12 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     return stored(deduplicated(pages).mapInArrow(run, "path string, records long"), "warc-files")
 
 
-def read_archives(files: DataFrame) -> DataFrame:
-    """page_id, url, record_type, refers_to, payload_bytes, payload_digest, digest_ok of all page records of the files (path)."""
+def read_archives(files: DataFrame, strict: bool = False) -> DataFrame:
+    """page_id, url, record_type, refers_to, payload_bytes, payload_digest, digest_ok of all page records of the files (path).
+
+    Size and digest are those of what was read. `strict` fails on the first record that is not what its headers say; otherwise
+    digest_ok tells.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("digest_ok", pa.bool_())])
@@ -180,6 +191,8 @@ def read_archives(files: DataFrame) -> DataFrame:
                 with source.open_input_stream(name, compression=None) as stream:
                     rows: list[tuple] = []
                     for row in _pages(read_records(stream)):
+                        if strict and not row[-1]:
+                            raise DamagedRecord(f"{path}: page {row[0]}")
                         rows.append(row)
                         if len(rows) == 4096:
                             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
@@ -197,7 +210,7 @@ def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     with the largest page_id (null: smallest) is the response, or each of them if rows repeat that page_id. An empty table
     gives no rows; extra columns are ignored.
     """
-    return read_archives(write_archives(pages.select("page_id", "url", "html"), fresh_folder(spark, "warc")))
+    return read_archives(write_archives(pages.select("page_id", "url", "html"), fresh_folder(spark, "warc")), strict=True)
 
 
 #: DuckDB SQL of op1 on the table pages.

@@ -50,3 +50,17 @@ def test_truncated_and_misframed_archives_fail():
     changed = gzip.compress(gzip.decompress(first).replace(b"<p>hi</p>", b"<p>ho</p>"))
     assert not next(warc.read_records(io.BytesIO(changed))).block_ok
     assert not next(warc._pages(warc.read_records(io.BytesIO(changed))))[-1]
+
+
+def test_a_damaged_archive_gives_no_right_looking_rows(spark, tmp_path):
+    """A payload that was changed after it was written: its own digest is returned and marked, or the read fails."""
+    import gzip
+
+    first, second = _archive()
+    changed = gzip.compress(gzip.decompress(first).replace(b"<p>hi</p>", b"<p>ho</p>"))
+    (tmp_path / "a.warc.gz").write_bytes(changed + second)
+    files = spark.createDataFrame([(f"file://{tmp_path}/a.warc.gz",)], "path string")
+    rows = {r.page_id: r for r in warc.read_archives(files).collect()}
+    assert not rows[1].digest_ok and rows[1].payload_digest == hashlib.sha1(b"<p>ho</p>").hexdigest() and rows[2].digest_ok
+    with pytest.raises(Exception, match="DamagedRecord"):
+        warc.read_archives(files, strict=True).collect()
