@@ -1,9 +1,10 @@
 """Quality of documents by co-training two views.
 
-The content view sees the words of a text, the page view its metadata and layout. Each view is a logistic classifier. In each
-round a view gives its most confident guesses on all unlabelled documents to the other view as labels. At the end both are
-calibrated on labelled documents that they have not seen, and combined. The features of all documents are stored once; rounds are
-passes over them that bring counts, gradients and Hessians to the driver.
+The content view sees the words of a text: their repetition, length, case and script. The page view sees what a page is
+besides its words: language, source, size, and how it is set (lines, white space, punctuation and markup signs). No column is in both.
+Each view is a logistic classifier. In each round a view gives its most confident guesses on all unlabelled documents to the
+other view as labels. At the end both are calibrated on labelled documents that they have not seen, and combined. The features
+of all documents are stored once; rounds are passes over them that bring one row of counts, gradients and Hessians to the driver.
 """
 
 from __future__ import annotations
@@ -32,15 +33,18 @@ STEPS, SMALL_STEP = 6, 1e-3
 CELLS, SPAN = 4096, 16.0
 #: Sources and languages are hashed into so many columns each.
 HASHED = 16
-CONTENT_FEATURES = 16
-PAGE_FEATURES = 14 + 2 * HASHED
+CONTENT_FEATURES = 14
+LAYOUT_FEATURES = 13
+PAGE_FEATURES = LAYOUT_FEATURES + 2 * HASHED
+#: Rows of sums that one task adds up.
+ADDED = 256
 
 
 def _text_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Content features, and layout features, of each text. A null text is an empty one."""
     data, offsets = text_bytes(texts)
     content = np.zeros((len(texts), CONTENT_FEATURES))
-    layout = np.zeros((len(texts), 14))
+    layout = np.zeros((len(texts), LAYOUT_FEATURES))
     for low, high in row_groups(offsets):
         own = offsets[low : high + 1]
         content[low:high], layout[low:high] = _group_features(data[own[0] : own[-1]], own - own[0])
@@ -104,7 +108,7 @@ def _group_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     content = np.column_stack([
         distinct / some, np.log(np.maximum(distinct, 1)) / np.maximum(log_words, 1), top / some, share(again), run_distinct / run_count,
         run_top / run_count, mean / 10, spread / 10, share(ending), share(bare), share(double), n_upper / letters,
-        n_digit / size, n_wide / size, (count == 0).astype(float), log_words / 10,
+        n_digit / size, n_wide / size,
     ])
 
     lines = _sums(line, offsets) + 1
@@ -122,7 +126,7 @@ def _group_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     odd = _sums(np.isin(data, np.frombuffer(b"#$%&*+<=>@[\\]^_`{|}~", np.uint8)), offsets)
     layout = np.column_stack([
         np.log1p(size) / 10, np.log1p(lines) / 5, np.log1p(size / lines) / 10, longest / size, n_sign / size, n_space / size, pipes / lines / 10,
-        pipes / some, stops / some, shouts / some, commas / some, odd / some, n_digit / size, (np.diff(offsets) == 0).astype(float),
+        pipes / some, stops / some, shouts / some, commas / some, odd / some, (np.diff(offsets) == 0).astype(float),
     ])
     return content, layout
 
@@ -300,26 +304,50 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, width).astype(float)
 
 
+def _added(rows: DataFrame) -> DataFrame:
+    """rows (part, sums) of a partition as one row, added in the order of part, so that reruns agree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, first = None, 0
+        for batch in batches:
+            for part, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                first, total = (part, np.frombuffer(own).copy()) if total is None else (first, total + np.frombuffer(own))
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+
+    return rows.sortWithinPartitions("part").mapInArrow(run, "part long, sums binary")
+
+
 def _pool_sums(pool: DataFrame) -> Sums:
-    """Each task adds up its rows; one row of sums for each partition goes to the driver."""
+    """Each task adds up its rows, further tasks add up ADDED rows of sums each; one row goes to the driver."""
+    parts = pool.rdd.getNumPartitions()
 
     def sums(step: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
             total = None
             for batch in batches:
                 part = step(_matrix(batch.column(0), CONTENT_FEATURES), _matrix(batch.column(1), PAGE_FEATURES))
                 total = part if total is None else total + part
             if total is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
 
-        found = [np.frombuffer(r.sums) for r in pool.select("content", "page").mapInArrow(run, "sums binary").collect()]
-        return np.sum(found, axis=0) if found else step(np.zeros((0, CONTENT_FEATURES)), np.zeros((0, PAGE_FEATURES)))
+        rows, left = pool.select("content", "page").mapInArrow(run, "part long, sums binary"), parts
+        while left > 1:
+            left = -(-left // ADDED)
+            rows = _added(rows.repartitionById(left, F.floor(F.col("part") / ADDED).cast("int") % left))
+        found = rows.collect()
+        return np.frombuffer(found[0].sums) if found else step(np.zeros((0, CONTENT_FEATURES)), np.zeros((0, PAGE_FEATURES)))
 
     return sums
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = TRAINING_DOCS) -> Model | None:
-    """Co-trains on docs (doc_id, text, lang, source) and labels (doc_id, quality)."""
+def features(docs: DataFrame, labels: DataFrame, labelled: int = TRAINING_DOCS) -> DataFrame:
+    """doc_id, quality (0, 1, or -1 for rows that are not learned from as labelled), content and page of every row, stored.
+
+    docs: doc_id, text, lang, source; labels: doc_id, quality.
+    """
     given = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).filter("doc_id IS NOT NULL AND quality IN (0, 1)")
     given = given.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     drawn = given.filter(_key() < int(min(1.0, labelled / max(1, given.count())) * (1 << 30)))
@@ -331,10 +359,34 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = TRAINING_DOCS) ->
             blobs = [pa.array([row.tobytes() for row in view.astype(np.float32)], pa.binary()) for view in views(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), *blobs], names=["doc_id", "quality", "content", "page"])
 
-    features = stored(own.mapInArrow(run, "doc_id long, quality int, content binary, page binary"), "features")
-    rows = features.filter("quality >= 0").toArrow().sort_by([("doc_id", "ascending"), ("content", "ascending"), ("page", "ascending")])
+    return stored(own.mapInArrow(run, "doc_id long, quality int, content binary, page binary"), "features")
+
+
+def learn(known: DataFrame) -> Model | None:
+    """Co-trains on the rows of `features`."""
+    rows = known.filter("quality >= 0").toArrow().sort_by([("doc_id", "ascending"), ("content", "ascending"), ("page", "ascending")])
     content, page = _matrix(rows["content"], CONTENT_FEATURES), _matrix(rows["page"], PAGE_FEATURES)
-    return _learned(content, page, rows["quality"].to_numpy(), _pool_sums(features.filter("quality < 0")))
+    return _learned(content, page, rows["quality"].to_numpy(), _pool_sums(known.filter("quality < 0")))
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = TRAINING_DOCS) -> Model | None:
+    """Co-trains on docs (doc_id, text, lang, source) and labels (doc_id, quality)."""
+    return learn(features(docs, labels, labelled))
+
+
+def score_features(known: DataFrame, model: Model | None) -> DataFrame:
+    """doc_id and quality_score of the rows of `features`; no text is read again."""
+    parts = [tuple(m) for m in model] if model else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*(Logistic(*p) for p in parts)) if parts else None
+        for batch in batches:
+            value = np.full(batch.num_rows, 0.5)
+            if own and batch.num_rows:
+                value = own.score(_matrix(batch.column(1), CONTENT_FEATURES), _matrix(batch.column(2), PAGE_FEATURES))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value)], names=["doc_id", "quality_score"])
+
+    return known.select("doc_id", "content", "page").mapInArrow(run, "doc_id long, quality_score double")
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -362,8 +414,8 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Repeated rows are scored alike, an empty table gives no rows, other columns are ignored.
     """
     rest = F.crc32(F.col("doc_id").cast("string")) % 5
-    model = train(docs, labels.filter(rest != 0))
-    scored = score(docs.select(F.col("doc_id").cast("long"), *_COLUMNS), model)
+    known = features(docs, labels.filter(rest != 0))
+    scored = score_features(known, learn(known))
     return scored.select(
         "doc_id",
         F.coalesce(rest == 0, F.lit(False)).alias("held_out"),

@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from surveyloom.llm import quality
@@ -72,3 +74,50 @@ def test_one_pass_equals_many():
     parts = lambda step: sum(step(content[i : i + 700], page[i : i + 700]) for i in range(60, 3000, 700))
     dealt = quality._learned(content[:60], page[:60], label[:60], parts)
     assert all(np.allclose(a.weights, b.weights) for a, b in zip(whole, dealt))
+
+
+@pytest.fixture(scope="module")
+def at_hand(spark, small):
+    """Features, labels and ids of all documents in one place, in the order of the operator."""
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    table = docs.orderBy("doc_id").toArrow().combine_chunks()
+    batch, = table.to_batches()
+    content, page = (v.astype(np.float32).astype(float) for v in quality.views(batch))
+    return docs, labels, batch.column("doc_id").to_pylist(), content, page, known
+
+
+def test_the_operator_equals_co_training_in_one_place(at_hand):
+    """Brute force: the same rounds in memory, without Spark, give every document's score."""
+    import zlib
+
+    docs, labels, ids, content, page, known = at_hand
+    label = np.array([known.get(i, -1) if zlib.crc32(str(i).encode()) % 5 else -1 for i in ids])
+    model = quality.co_train(content, page, label)
+    wanted = dict(zip(ids, model.score(content, page)))
+    rows = quality.quality(docs.repartition(5), labels).collect()
+    assert len(rows) == len(wanted)
+    assert all(abs(r.score - wanted[r.doc_id]) < 1e-6 and r.predicted == (r.score >= 0.5) for r in rows)
+
+
+def test_views_share_no_column():
+    """No column of one view follows from one of the other, over texts of random words, signs and lines."""
+    rng = np.random.default_rng(3)
+    bits = ["word", "Word", "WORDS", "a", "é", "12", "7", "|", "#", "!", ",", ".", "\n", "\t", "--", "the", "the"]
+    texts = [rng.choice([" ", "\n", ""]).join(rng.choice(bits, rng.integers(1, 200), p=rng.dirichlet(np.full(len(bits), 0.3)))) for _ in range(500)]
+    batch = pa.RecordBatch.from_pydict({"text": texts + ["", " "], "lang": [None] * 502, "source": [None] * 502})
+    content, page = quality.views(batch)
+    assert all(column.std() for column in (*content.T, *page[:, : quality.LAYOUT_FEATURES].T))
+    for a in content.T:
+        for b in page[:, : quality.LAYOUT_FEATURES].T:
+            assert abs(np.corrcoef(a, b)[0, 1]) < 0.97
+
+
+def test_many_rows_of_sums_become_one(spark, monkeypatch):
+    monkeypatch.setattr(quality, "ADDED", 3)
+    rows = [(np.full(quality.CONTENT_FEATURES, i, np.float32).tobytes(), np.full(quality.PAGE_FEATURES, 1, np.float32).tobytes()) for i in range(40)]
+    pool = spark.createDataFrame(rows, "content binary, page binary").repartition(17)
+    sums = quality._pool_sums(pool)
+    wanted = [sum(range(40)) * quality.CONTENT_FEATURES, 40.0 * quality.PAGE_FEATURES]
+    assert sums(lambda c, p: np.array([c.sum(), p.sum()])).tolist() == wanted
+    assert quality._pool_sums(pool.limit(0))(lambda c, p: np.array([c.sum(), p.sum()])).tolist() == [0.0, 0.0]
