@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from surveyloom.llm import decontaminate, mixing, neardup, quality, secrets
 from surveyloom.llm.storage import stored
 
-#: Documents below this probability of good quality go.
-LEAST_QUALITY = 0.25
+#: Documents below this probability of good quality go, as operator 4 predicts.
+LEAST_QUALITY = 0.5
 #: Near duplicates: words of a shingle and percent of similarity.
 SHINGLE, PERCENT = 5, 80
+#: A column that the stages use among themselves.
+KEY = "_row_key"
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,20 +30,29 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: of each group the document with the least doc_id stays; of rows that repeat a doc_id, one."""
+    """Operator 8: of each group the document with the least doc_id stays; of rows that repeat a doc_id, the first by text."""
     found = stored(neardup.near_duplicates(docs, SHINGLE, PERCENT), "groups")
     dropped = found.filter(~F.col("kept")).select("doc_id").distinct()
     repeated = found.filter(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").select("doc_id")
     rest = docs.join(dropped.unionByName(repeated).distinct(), "doc_id", "left_anti")
-    again = docs.join(repeated, "doc_id", "left_semi").join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return rest.unionByName(again)
+    again = docs.join(repeated, "doc_id", "left_semi").join(dropped, "doc_id", "left_anti")
+    # Equal rows but for the order of their columns: the least of all columns, text first, so that reruns agree.
+    others = [c for c in docs.columns if c != "doc_id"]
+    least = again.groupBy("doc_id").agg(F.min(F.struct(*sorted(others, key=lambda c: c != "text"))).alias("row"))
+    return rest.unionByName(least.select("doc_id", "row.*").select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: documents with a twentieth of their words inside benchmark windows go."""
-    found = decontaminate.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = stored(found.filter(decontaminate.contaminated()).select("doc_id").distinct(), "contaminated")
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """Operator 6: documents with a twentieth of their words inside benchmark windows go.
+
+    The operator sees a key of doc_id and text instead of doc_id, so a row without an id goes as well, and of rows that share an id only
+    those whose text is contaminated.
+    """
+    keyed = docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.matches(keyed.select(F.col(KEY).alias("doc_id"), "text"), items)
+    hit = stored(found.filter(decontaminate.contaminated()).select(F.col("doc_id").alias(KEY)).distinct(), "contaminated")
+    return keyed.join(hit, KEY, "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
