@@ -30,7 +30,7 @@ from surveyloom.session import fresh_folder
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 #: Bytes of text that are encoded together.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 8 << 20
 #: Different parts of words whose ids a worker keeps, some 200 bytes each. A full store is emptied, which changes no result.
 KEPT_PARTS = 3 << 18
 #: Bytes of a stripe in memory; a task can start at any.
@@ -112,7 +112,7 @@ class Encoder:
 
         declared = json.loads(rules)
         self.tokenizer, self.whole = Tokenizer.from_str(rules), whole
-        self.special = [token["content"] for token in declared["added_tokens"]]
+        self.special = [token["content"].encode() for token in declared["added_tokens"]]
         # The same pieces and merges for parts that need no normalising; white space stands between them.
         steps = [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
         plain = {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": steps}, "added_tokens": []}
@@ -176,13 +176,13 @@ class Encoder:
         ordered.extend(*both.of(place))
         return ordered
 
-    def __call__(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, and how many each text has."""
+    def __call__(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of texts in UTF-8 one after another, and how many each text has."""
         if len(self.slots) > KEPT_PARTS:
             self._forget()
         apart = [i for i, t in enumerate(texts) if self.whole or any(s in t for s in self.special)]
         lone = set(apart)
-        words = [[] if i in lone else t.encode().split() for i, t in enumerate(texts)]
+        words = [[] if i in lone else t.split() for i, t in enumerate(texts)]
         number = np.fromiter(map(len, words), np.int64, len(words))
         codes, different = _numbers(list(chain.from_iterable(words)))
         ids, counts = self._words(different).of(codes)
@@ -190,7 +190,7 @@ class Encoder:
         if not apart:
             return ids, counts
         own = _Ids()
-        self._encode([texts[i] for i in apart], own)
+        self._encode([texts[i].decode() for i in apart], own)
         flat, sizes = own.of(np.arange(own.count))
         pieces = np.split(ids, np.cumsum(counts)[:-1])
         for i, piece in zip(apart, np.split(flat, np.cumsum(sizes)[:-1])):
@@ -214,10 +214,10 @@ def _encoded(rules: str, whole: bool):
 
         encode, file, first = kept_encoder(rules, whole), TaskContext.get().partitionId(), 0
         for batch in batches:
-            column = batch.column(1)
+            column = batch.column(1).cast(pa.binary())
             sizes = np.array(pa.compute.binary_length(column).fill_null(0), np.int64)
             for low, high in row_groups(np.concatenate([[0], np.cumsum(sizes)]), GROUP_BYTES):
-                ids, counts = encode([t or "" for t in column.slice(low, high - low).to_pylist()])
+                ids, counts = encode([t or b"" for t in column.slice(low, high - low).to_pylist()])
                 ends = np.cumsum(counts + 1)
                 full = np.full(int(ends[-1]), END, np.int32)
                 mask = np.ones(len(full), bool)
@@ -235,16 +235,16 @@ def _encoded(rules: str, whole: bool):
 def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, whole: bool = False) -> None:
     """Encode docs (doc_id, text) into ORC files below `path`/rows, and the sums of the files into `path`/files.
 
-    Files follow each other in ascending doc_id order, as their rows do. A null doc_id comes last, rows that repeat a doc_id by a hash of
-    their text; a null text is empty and has the end id alone. There are as many files as `spark.sql.shuffle.partitions`. `whole` is for vocabularies whose rules look across white space.
+    Files follow each other in ascending doc_id order, as their rows do. A null doc_id comes last, rows that repeat a doc_id stand
+    as they are read; a null text is empty and has the end id alone. There are as many files as `spark.sql.shuffle.partitions`. `whole` is for vocabularies whose rules look across white space.
     """
     with open(vocabulary or vocabulary_path(), encoding="utf-8") as file:
         rules = file.read()
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
     files = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The last key deals out a doc_id that a large part of the rows repeat; its hash keeps rows of one text together otherwise.
-    order = [F.col("doc_id").asc_nulls_last(), F.col("h"), F.col("row")]
-    dealt = keyed.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(files, *order).sortWithinPartitions(*order)
+    # The second key deals out a doc_id that a large part of the rows repeat, nulls among them.
+    order = [F.col("doc_id").asc_nulls_last(), F.col("row")]
+    dealt = keyed.repartitionByRange(files, *order).sortWithinPartitions(*order)
     rows = dealt.select("doc_id", "text").mapInArrow(_encoded(rules, whole), _ROWS)
     writer = rows.write.option("compression", "snappy").option("orc.bloom.filter.columns", "doc_id")
     writer.option("orc.stripe.size", str(STRIPE_BYTES)).option("orc.row.index.stride", str(INDEX_ROWS)).option("orc.bloom.filter.fpp", "0.01").orc(f"{path}/rows")

@@ -170,6 +170,6 @@ def test_words_are_parted_as_the_vocabulary_parts_them(tokenizer):
     with open(token_files.vocabulary_path(), encoding="utf-8") as file:
         encode = token_files.Encoder(file.read())
     for low in range(0, len(texts), 500):
-        ids, counts = encode(texts[low : low + 500])
+        ids, counts = encode([t.encode() for t in texts[low : low + 500]])
         wanted = [e.ids for e in tokenizer.encode_batch(texts[low : low + 500], add_special_tokens=False)]
         assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == wanted
