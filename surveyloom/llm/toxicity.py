@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surveyloom.llm.storage import stored
 from surveyloom.llm.text import FOLDED_LETTERS, SPACED_WORDS, mix, row_groups, text_bytes, words
 
 #: Labelled documents that the classifier learns from, on average, drawn by the hash of doc_id. Each half of them is
@@ -37,8 +38,13 @@ SUBSTITUTED, DROPPED, SHORTENED = 0.5, 9.0, 0.3
 #: Cost of dropping a character that stands for no letter, and of shortening a mere double letter.
 STRIPPED, UNDOUBLED = 1.0, 3.0
 
+#: Signs that count as noise behind a letter at the end of a token, too; the others end sentences and lists.
+AT_THE_END = "0123456789@$€£"
+#: Characters of a token that are decoded in one piece; of longer ones pieces that overlap by OVERLAP.
+PIECE, OVERLAP = 4096, 256
+
 _LETTERS = 28
-_PARTED = re.compile(r"[A-Za-z0-9@$!|*](?:[.\-_*~,/\\][A-Za-z0-9@$!|*]){2,}[.!?,]*")
+_PARTED = re.compile(r"[A-Za-z0-9@$!|*](?:[.\-_*~,/\\][A-Za-z0-9@$!|*]){2,}[.!?,;:]*")
 
 
 def _symbols() -> np.ndarray:
@@ -120,17 +126,27 @@ def restore(token: str, model: CharacterModel) -> str:
     return min(states.values())[1].strip() if states else ""
 
 
-def _byte_classes() -> np.ndarray:
-    """1: letter, 2: digit or sign that stands for a letter, 4: sign that sets letters apart."""
+def _byte_classes(data: np.ndarray) -> np.ndarray:
+    """For each byte 1: letter, 2: digit or sign that stands for a letter, 4: sign that sets letters apart, 8: one of AT_THE_END.
+
+    All bytes of a character beyond ASCII count as a letter, or as a sign if the character is one.
+    """
     table = np.zeros(256, np.uint8)
     table[65:91] = table[97:123] = 1
     table[128:] = 1
     for char in STANDS_FOR:
         if char.isascii():
-            table[ord(char)] |= 2
+            table[ord(char)] |= 2 | 8 * (char in AT_THE_END)
     for char in ".-_*~,/\\":
         table[ord(char)] |= 4
-    return table
+    kinds = table[data]
+    for char in STANDS_FOR:
+        own = np.frombuffer(char.encode(), np.uint8)
+        if len(own) > 1 and len(data) >= len(own):
+            begins = np.logical_and.reduce([data[i : len(data) - len(own) + 1 + i] == own[i] for i in range(len(own))])
+            for i in range(len(own)):
+                kinds[np.flatnonzero(begins) + i] = 2 | 8 * (char in AT_THE_END)
+    return kinds
 
 
 def _noisy(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, str, bool]]:
@@ -138,11 +154,12 @@ def _noisy(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, str, bool]]
     found = words(data, offsets, SPACED_WORDS)
     if not len(found.start):
         return []
-    kinds = _byte_classes()[data]
+    kinds = _byte_classes(data)
     letter, sign = (kinds & 1).astype(bool), (kinds & 2).astype(bool)
     parts = (kinds & 4).astype(bool)
     noise = np.zeros(len(data), bool)
     noise[:-1] |= sign[:-1] & letter[1:]
+    noise[1:] |= ((kinds[1:] & 8) > 0) & letter[:-1]
     inner = sign[1:-1] & letter[:-2] & (sign[2:] | letter[2:]) & (data[1:-1] != data[2:])
     noise[1:-1] |= inner
     folded = np.where((data >= 65) & (data <= 90), data + 32, data)
@@ -160,10 +177,8 @@ def _noisy(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, str, bool]]
         token = data[found.start[i] : found.end[i]].tobytes().decode()
         if _PARTED.fullmatch(token):
             out.append((int(owner[i]), re.sub(r"[.\-_*~,/\\]", "", token), True))
-        elif len(token) <= 64:
-            out.append((int(owner[i]), token, False))
         else:
-            out += [(int(owner[i]), token[k : k + 64], False) for k in range(0, len(token), 48)]
+            out += [(int(owner[i]), token[k : k + PIECE], False) for k in range(0, max(1, len(token) - OVERLAP), PIECE - OVERLAP)]
     size = found.end - found.start
     last = np.isin(data[found.end - 1], np.frombuffer(b".,!?;:", np.uint8))
     alone = ((size == 1) | ((size == 2) & last)) & (letter | sign)[found.start]
@@ -270,7 +285,8 @@ def train(docs: DataFrame, labels: DataFrame, characters: CharacterModel, bound:
     drawn = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(drawn), "doc_id")
     half = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(2)).cast("int")
-    sample = sample.select("text", "toxic", half.alias("half"))
+    # Stored, as it is read three times; a bounded sample, whatever the corpus.
+    sample = stored(sample.select("text", "toxic", half.alias("half")), "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
