@@ -263,9 +263,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     strays = stored(_agreeing(strays, leaders, percent / 100), "stray-pairs")
     second = _links(_compared(strays, docs, size), percent)
 
-    same = linked.select("doc_id", "set_key").join(classes.withColumnRenamed("doc_id", "v"), "set_key")
-    copies = same.filter("doc_id <> v").select(F.col("doc_id").alias("u"), "v")
-    found = components(first.unionByName(second).unionByName(copies))
-    out = prints.select("doc_id", "n_shingles").join(found, prints["doc_id"] == found["node"], "left")
-    component = F.coalesce("component", "doc_id")
+    # Copies follow the leader of their class and are no links; only an id with several texts ties their classes together.
+    several = linked.groupBy("doc_id").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b")).filter("a <> b").select("doc_id")
+    ties = linked.join(several, "doc_id", "left_semi").join(classes.withColumnRenamed("doc_id", "v"), "set_key")
+    found = components(first.unionByName(second).unionByName(ties.select(F.col("doc_id").alias("u"), "v")))
+    led = classes.join(found, classes["doc_id"] == found["node"], "left").select("set_key", F.coalesce("component", "doc_id").alias("led"))
+    # A row without words belongs to no class, but its id may have another text that does; without an id it belongs to nothing.
+    bare = prints.filter("doc_id IS NOT NULL AND n_shingles = 0")
+    owned = linked.join(bare.select("doc_id").distinct(), "doc_id", "left_semi").join(led, "set_key").groupBy("doc_id").agg(F.min("led").alias("led"))
+    rest = prints.filter("doc_id IS NULL OR n_shingles > 0").join(led, "set_key", "left")
+    columns = ("doc_id", "n_shingles", "led")
+    out = rest.select(*columns).unionByName(bare.join(owned, "doc_id", "left").select(*columns))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("led", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))

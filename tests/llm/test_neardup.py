@@ -80,3 +80,15 @@ def test_components(spark):
     found = components(spark.createDataFrame(links, "u long, v long"))
     assert dict(map(tuple, found.collect())) == {i: top(i) for i in root}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_ids_with_several_texts_tie_their_classes(spark):
+    """A repeated id has the links of all its texts, its empty ones and copies of them under other ids included."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(30)) for k in "abc")
+    rows = [(9, a), (9, b), (9, ""), (4, a), (7, b), (3, c), (9, a), (None, a), (8, None), (6, b + " b30"), (5, " ")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1, r.kept) for r in neardup.near_duplicates(frame, 2, 80).collect())
+    assert found == [
+        (-1, 29, -1, True), (3, 29, 3, True), (4, 29, 4, True), (5, 0, 5, True), (6, 30, 4, False), (7, 29, 4, False), (8, 0, 8, True),
+        (9, 0, 4, False), (9, 29, 4, False), (9, 29, 4, False), (9, 29, 4, False),
+    ]
