@@ -15,7 +15,7 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator, Sequence
-from itertools import chain, compress
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -32,7 +32,7 @@ END = 1
 #: Bytes of text that are encoded together.
 GROUP_BYTES = 8 << 20
 #: Different parts of words whose ids a worker keeps, some 200 bytes each. A full store is emptied, which changes no result.
-KEPT_PARTS = 3 << 18
+KEPT_PARTS = 1 << 20
 #: Bytes of a stripe in memory; a task can start at any.
 STRIPE_BYTES = 16 << 20
 #: Rows between two entries of a row index; a Bloom filter is kept for as many rows.
@@ -139,10 +139,13 @@ class Encoder:
 
     def _numbered(self, items: list[bytes], encode) -> np.ndarray:
         """The slots of items, those that are new among them encoded."""
-        new = [item for item in items if item not in self.slots]
-        self.slots.update(zip(new, range(self.ids.count, self.ids.count + len(new))))
+        slots = np.fromiter(map(self.slots.get, items, repeat(-1)), np.int64, len(items))
+        missing = np.flatnonzero(slots < 0)
+        slots[missing] = self.ids.count + np.arange(len(missing))
+        new = [items[i] for i in missing.tolist()]
+        self.slots.update(zip(new, slots[missing].tolist()))
         encode(new, self.ids)
-        return np.fromiter((self.slots[item] for item in items), np.int64, len(items))
+        return slots
 
     def _words(self, words: list[bytes]) -> _Ids:
         """The ids of different words: simple ones by their parts, the others by all rules."""
