@@ -1,8 +1,7 @@
 """Near-duplicate documents: many universal hash minima, banding, verification, connected components.
 
 Equal shingle sets become one class first, so copies cost one row each and are never compared. Each class is then linked inside
-its buckets. The first round compares every member of a bucket with the bucket's hub, the member that most others meet. What
-the hub does not reach (strays) is compared in a second round with all members of other components that it can still be similar
+its buckets. The first round compares every member of a bucket with the bucket's hub, the member that most others meet.  with all members of other components that it can still be similar
 to, by an exact bound from both ends' differences from the hub. So no similar pair that shares a bucket is left out unless both
 ends are in one component already. Links count only after both signatures and full sets agree.
 """
@@ -10,7 +9,7 @@ ends are in one component already. Links count only after both signatures and fu
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +25,22 @@ BANDS, ROWS = 36, 5
 #: Signatures are compared by one byte of each minimum. With 180 minima a pair at 0.8 has a standard error of 0.03, so it falls below
 #: the slack of 0.17 (5.7 of them) with probability 2e-8, less than it misses all bands.
 SLACK = 0.17
-#: Bits of the filter that tells which documents need their full sets.
+#: Bits of the filter that tells which documents need their full sets, and the most documents it is used for; more are joined.
 FILTER_BITS = 23
+FILTER_IDS = 1 << 21
+#: Strays that a bucket may have to be joined with itself. Beyond, its members meet by their rarest shingles.
+WIDE = 64
+#: Shingles are ordered by counts in so many cells (any order is exact, a finer one leaves fewer candidates).
+COUNT_BITS = 18
+#: Set sizes fall into classes this far apart.
+CLASS_STEP = 1.05
 #: 64-bit words that describe the difference of a set from its hub's (a power of two).
 DIFFERENCE_WORDS = 32
 
 _PRINT = "doc_id long, n_shingles long, set_key binary, bands array<long>, signature binary"
 _COMPARED = "member long, hub long, n long, hub_n long, common long, own array<long>, gone array<long>"
 _SET = "doc_id long, shingles array<long>"
+_RARE = "doc_id long, n long, own_class int, met_class int, shingles array<long>"
 
 
 def _universal(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,24 +109,33 @@ def _filter_of(ids: DataFrame) -> bytes:
     return bitmap.tobytes()
 
 
-def _shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """doc_id and shingles of the documents in `ids`, and of a few whose hashes fall on the same bits. No text is shuffled."""
+def _over_sets(docs: DataFrame, ids: DataFrame, size: int, emit: Callable[[list], pa.RecordBatch], schema: str) -> DataFrame:
+    """What `emit` makes of the shingle sets of the documents in `ids` (doc_id, distinct).
+
+    Up to FILTER_IDS documents no text is shuffled: a bitmap finds them, and a few more whose hashes fall on the same bits.
+    """
+    texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
+    if ids.count() > FILTER_IDS:
+
+        def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield emit(list(_sets(batch, size)))
+
+        return texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(joined, schema)
     bitmap = docs.sparkSession.sparkContext.broadcast(_filter_of(ids))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little").astype(bool)
         for batch in batches:
-            got = list(_sets(batch.select([0, 1]).filter(pa.array(wanted[np.array(batch.column(2))])), size))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([i for i, _ in got], pa.int64()),
-                    pa.array([v.view(np.int64) for _, v in got], pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "shingles"],
-            )
+            yield emit(list(_sets(batch.select([0, 1]).filter(pa.array(wanted[np.array(batch.column(2))])), size)))
 
     slot = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS)
-    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text", slot.alias("slot")).mapInArrow(run, _SET)
+    return texts.withColumn("slot", slot).mapInArrow(found, schema)
+
+
+def _whole_sets(got: list) -> pa.RecordBatch:
+    shingle_lists = pa.array([v.view(np.int64) for _, v in got], pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array([i for i, _ in got], pa.int64()), shingle_lists], names=["doc_id", "shingles"])
 
 
 def _agreeing(pairs: DataFrame, prints: DataFrame, threshold: float) -> DataFrame:
@@ -144,7 +160,7 @@ def _compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """member, hub, n, hub_n, common and what tells the two full sets apart: bits of the shingles that only the member has (own)
     and of those that only the hub has (gone)."""
     needed = pairs.select(F.explode(F.array("member", "hub")).alias("doc_id")).distinct()
-    sets = stored(_shingle_sets(docs, needed, size), "sets")
+    sets = stored(_over_sets(docs, needed, size, _whole_sets, _SET), "sets")
     mine = sets.select(F.col("doc_id").alias("member"), F.col("shingles").alias("x"))
     theirs = sets.join(pairs.select(F.col("hub").alias("doc_id")).distinct(), "doc_id", "left_semi")
     both = pairs.join(mine, "member").join(theirs.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("y")), "hub")
@@ -198,7 +214,19 @@ def _spare(bits: str, count: Column) -> Column:
     return count - F.expr(f"aggregate({bits}, 0, (n, x) -> n + bit_count(x))")
 
 
-def _stray_pairs(members: DataFrame, compared: DataFrame, found: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
+def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, bucket, hub, component and main (the largest component of the bucket) of all members but hubs, where a bucket
+    holds several components."""
+    own = members.join(found, members["doc_id"] == found["node"], "left").select(
+        "doc_id", "bucket", "hub", F.coalesce("component", "doc_id").alias("component")
+    )
+    cells = own.groupBy("bucket", "component").count()
+    top = cells.groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("n"))
+    mixed = top.filter("n > 1").select("bucket", F.col("top.component").alias("main"))
+    return own.filter("doc_id <> hub").join(mixed, "bucket")
+
+
+def _stray_pairs(own: DataFrame, compared: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
     """Members outside the largest component of their bucket, with all members of other components there that can be similar.
 
     Both ends have been compared with the hub, which bounds their intersection: what they have of the hub together is
@@ -206,13 +234,6 @@ def _stray_pairs(members: DataFrame, compared: DataFrame, found: DataFrame, lead
     differences bound these overlaps from above, so no similar pair is left out. Where an end was too far from the hub to be
     compared, the signatures decide here and not in the next step. A pair is emitted by the first bucket that both ends share.
     """
-    own = members.join(found, members["doc_id"] == found["node"], "left").select(
-        "doc_id", "bucket", "hub", F.coalesce("component", "doc_id").alias("component")
-    )
-    cells = own.groupBy("bucket", "component").count()
-    top = cells.groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("n"))
-    mixed = top.filter("n > 1").select("bucket", F.col("top.component").alias("main"))
-    own = own.filter("doc_id <> hub").join(mixed, "bucket")
     own = own.join(leaders.select("doc_id", F.col("n_shingles").alias("size"), "bands", "signature"), "doc_id")
     facts = compared.select(F.col("member").alias("doc_id"), "hub", "hub_n", "common", "own", "gone")
     own = own.join(facts, ["doc_id", "hub"], "left")
@@ -233,6 +254,83 @@ def _stray_pairs(members: DataFrame, compared: DataFrame, found: DataFrame, lead
     return both.select(F.col("s_doc_id").alias("member"), F.col("doc_id").alias("hub"))
 
 
+def size_bounds(most: int = 1 << 40) -> np.ndarray:
+    """The least set size of every class of sizes."""
+    bounds = [1]
+    while bounds[-1] < most:
+        bounds.append(max(bounds[-1] + 1, int(bounds[-1] * CLASS_STEP)))
+    return np.array(bounds, np.int64)
+
+
+def rarest(values: np.ndarray, counts: np.ndarray, bounds: np.ndarray, percent: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """For every class of sizes that a similar set can have: this set's class, that class, and the rarest shingles of this set, of
+    which a similar set of that class has one among its own rarest.
+
+    Similar sets of n and m shingles share at least percent * (n + m) / (100 + percent); so with one order for all sets, one of the
+    first n + 1 less that number is shared.
+    """
+    n = len(values)
+    if not n:
+        return
+    cells = counts[values >> np.uint64(64 - COUNT_BITS)]
+    ordered = values[np.lexsort((values, cells))]
+    least, most = -(-percent * n // 100), 100 * n // percent
+    mine, first, last = np.searchsorted(bounds, [n, least, most], side="right") - 1
+    for other in range(max(first, 0), last + 1):
+        m = max(int(bounds[other]), least)
+        keep = n - -(-percent * (n + m) // (100 + percent)) + 1
+        if keep > 0:
+            yield int(mine), int(other), ordered[:keep]
+
+
+def _rare_pairs(crowd: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Strays of `crowd` (doc_id, component, stray) with members of other components that share one of the rarest shingles which
+    similar sets of their sizes must share. Counts of 2 ** COUNT_BITS cells go to the driver and to all tasks."""
+    ids = crowd.select("doc_id")
+    shift = np.uint64(64 - COUNT_BITS)
+
+    def cells(got: list) -> pa.RecordBatch:
+        cell, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *(v >> shift for _, v in got)]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int64)), pa.array(n.astype(np.int64))], names=["cell", "n"])
+
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    for cell, n in _over_sets(docs, ids, size, cells, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
+        counts[cell] = n
+    known = docs.sparkSession.sparkContext.broadcast(counts)
+    bounds = size_bounds()
+
+    def lists(got: list) -> pa.RecordBatch:
+        rows = [(i, len(v), own, met, part.view(np.int64)) for i, v in got for own, met, part in rarest(v, known.value, bounds, percent)]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
+        columns = zip(*rows) if rows else ((),) * 5
+        names = ["doc_id", "n", "own_class", "met_class", "shingles"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    rare = stored(_over_sets(docs, ids, size, lists, _RARE).join(crowd, "doc_id"), "rarest")
+    rare = rare.select("doc_id", "component", "stray", "n", "own_class", "met_class", F.explode("shingles").alias("shingle"))
+    # A shingle that no stray has meets nothing; most of a template's are such.
+    turned = (F.col("own_class").alias("met_class"), F.col("met_class").alias("own_class"))
+    strays = rare.filter("stray").select("shingle", *turned, *(F.col(c).alias("s_" + c) for c in ("doc_id", "component", "n")))
+    once = ~F.col("stray") | (F.col("s_doc_id") < F.col("doc_id"))
+    sizes = 100 * F.least("n", "s_n") >= percent * F.greatest("n", "s_n")
+    both = strays.join(rare, ["shingle", "own_class", "met_class"]).filter((F.col("component") != F.col("s_component")) & once & sizes)
+    return both.select(F.col("s_doc_id").alias("member"), F.col("doc_id").alias("hub")).distinct()
+
+
+def _all_stray_pairs(
+    members: DataFrame, compared: DataFrame, found: DataFrame, leaders: DataFrame, docs: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Pairs of strays: inside their bucket where it has up to WIDE of them, else by their rarest shingles."""
+    placed = stored(_placed(members, found), "placed")
+    stray = F.col("component") != F.col("main")
+    wide = stored(placed.filter(stray).groupBy("bucket").count().filter(F.col("count") > WIDE).select("bucket"), "wide")
+    if wide.isEmpty():
+        return _stray_pairs(placed, compared, leaders, percent)
+    narrow = _stray_pairs(placed.join(wide, "bucket", "left_anti"), compared, leaders, percent)
+    crowd = placed.join(wide, "bucket", "left_semi").groupBy("doc_id").agg(F.min("component").alias("component"), F.max(stray).alias("stray"))
+    return narrow.unionByName(_rare_pairs(stored(crowd, "crowd"), docs, size, percent)).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text).
 
@@ -259,7 +357,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     pairs = stored(_agreeing(pairs, leaders, percent / 100), "hub-pairs")
     compared = stored(_compared(pairs, docs, size), "compared")
     first = _links(compared, percent)
-    strays = _stray_pairs(members, compared, components(first), leaders, percent)
+    strays = _all_stray_pairs(members, compared, components(first), leaders, docs, size, percent)
     strays = stored(_agreeing(strays, leaders, percent / 100), "stray-pairs")
     second = _links(_compared(strays, docs, size), percent)
 
