@@ -159,7 +159,7 @@ def _agreeing(pairs: DataFrame, prints: DataFrame, threshold: float) -> DataFram
 def _compared(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """member, hub, n, hub_n, common and what tells the two full sets apart: bits of the shingles that only the member has (own)
     and of those that only the hub has (gone)."""
-    needed = pairs.select(F.explode(F.array("member", "hub")).alias("doc_id")).distinct()
+    needed = stored(pairs.select(F.explode(F.array("member", "hub")).alias("doc_id")).distinct(), "needed")
     sets = stored(_over_sets(docs, needed, size, _whole_sets, _SET), "sets")
     mine = sets.select(F.col("doc_id").alias("member"), F.col("shingles").alias("x"))
     theirs = sets.join(pairs.select(F.col("hub").alias("doc_id")).distinct(), "doc_id", "left_semi")
@@ -214,6 +214,15 @@ def _spare(bits: str, count: Column) -> Column:
     return count - F.expr(f"aggregate({bits}, 0, (n, x) -> n + bit_count(x))")
 
 
+def _most_common() -> Column:
+    """The most shingles that two sets compared with one hub can share; null without facts of both."""
+    beside = _shared_bits("own", "s_own") + _spare("own", F.col("size") - F.col("common"))
+    lacking = _shared_bits("gone", "s_gone") + _spare("gone", F.col("hub_n") - F.col("common"))
+    most = F.col("common") + F.col("s_common") - F.col("hub_n") + lacking + beside
+    # Without facts of both ends the bound stays null; least() alone would skip the null.
+    return F.when(most.isNotNull(), F.least("size", "s_size", most))
+
+
 def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
     """doc_id, bucket, hub, component and main (the largest component of the bucket) of all members but hubs, where a bucket
     holds several components."""
@@ -242,11 +251,7 @@ def _stray_pairs(own: DataFrame, compared: DataFrame, leaders: DataFrame, percen
     )
     shared = F.expr("element_at(filter(zip_with(bands, s_bands, (x, y) -> if(x = y, x, NULL)), x -> x IS NOT NULL), 1) = bucket")
     once = (F.col("component") == F.col("main")) | (F.col("s_doc_id") < F.col("doc_id"))
-    beside = _shared_bits("own", "s_own") + _spare("own", F.col("size") - F.col("common"))
-    lacking = _shared_bits("gone", "s_gone") + _spare("gone", F.col("hub_n") - F.col("common"))
-    most = F.col("common") + F.col("s_common") - F.col("hub_n") + lacking + beside
-    # Without facts of both ends the bound stays null; least() alone would skip the null.
-    most = F.when(most.isNotNull(), F.least("size", "s_size", most))
+    most = _most_common()
     same = F.expr(f"aggregate(sequence(1, {BANDS * ROWS}), 0, (n, i) -> n + int(substring(signature, i, 1) = substring(s_signature, i, 1)))")
     alike = same >= BANDS * ROWS * (percent / 100 - SLACK)
     close = F.coalesce(100 * most >= percent * (F.col("size") + F.col("s_size") - most), alike)
@@ -317,6 +322,23 @@ def _rare_pairs(crowd: DataFrame, docs: DataFrame, size: int, percent: int) -> D
     return both.select(F.col("s_doc_id").alias("member"), F.col("doc_id").alias("hub")).distinct()
 
 
+def _bounded(pairs: DataFrame, crowd: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+    """Pairs without those that their differences from one hub rule out: of an end's hubs the one that most are compared
+    with, where both ends have the same. An id with several texts, or whose hub has several, rules nothing out."""
+    mine = compared.join(crowd.select(F.col("doc_id").alias("member")), "member", "left_semi")
+    met = mine.groupBy("hub").agg(F.count("*").alias("met"))
+    known = mine.select("member", "hub").join(met, "hub")
+    top = known.groupBy("member").agg(F.max(F.struct("met", "hub")).alias("top"), F.count("*").alias("rows"), F.countDistinct("hub").alias("hubs"))
+    top = top.filter(F.col("rows") == F.col("hubs")).select("member", F.col("top.hub").alias("hub"))
+    facts = stored(mine.join(top, ["member", "hub"]), "facts").withColumnRenamed("n", "size")
+    names = ("size", "common", "own", "gone")
+    one = facts.select("member", F.col("hub").alias("via"), *(F.col(c).alias("s_" + c) for c in names))
+    other = facts.select(F.col("member").alias("hub"), F.col("hub").alias("other_via"), "hub_n", *names)
+    most = F.when(F.col("via") == F.col("other_via"), _most_common())
+    close = F.coalesce(100 * most >= percent * (F.col("size") + F.col("s_size") - most), F.lit(True))
+    return pairs.join(one, "member", "left").join(other, "hub", "left").filter(close).select("member", "hub")
+
+
 def _all_stray_pairs(
     members: DataFrame, compared: DataFrame, found: DataFrame, leaders: DataFrame, docs: DataFrame, size: int, percent: int
 ) -> DataFrame:
@@ -328,7 +350,9 @@ def _all_stray_pairs(
         return _stray_pairs(placed, compared, leaders, percent)
     narrow = _stray_pairs(placed.join(wide, "bucket", "left_anti"), compared, leaders, percent)
     crowd = placed.join(wide, "bucket", "left_semi").groupBy("doc_id").agg(F.min("component").alias("component"), F.max(stray).alias("stray"))
-    return narrow.unionByName(_rare_pairs(stored(crowd, "crowd"), docs, size, percent)).distinct()
+    crowd = stored(crowd, "crowd")
+    rare = _bounded(_rare_pairs(crowd, docs, size, percent), crowd, compared, percent)
+    return narrow.unionByName(rare).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
