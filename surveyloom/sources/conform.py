@@ -1,14 +1,14 @@
 """Raw edition columns to the conformed table, by declared rules.
 
 An edition is a mapping of conformed column to rule. Every rule is a plain expression, so an
-edition is one projection: no row is dropped, merged or moved. A question that an edition did
+edition is a projection: no row is dropped, merged or moved. A question that an edition did
 not ask has no rule and is NULL. Answers with many spellings are looked up by a join with a table of spellings, in which each
 spelling is there once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -93,13 +93,30 @@ class Number:
 
 @dataclass(frozen=True)
 class Flag:
-    """0 or 1; anything else is "not asked"."""
+    """0 or 1; anything else is "not asked". Read with all other flags of the edition, see `_flag_values`."""
 
     source: str
 
-    def column(self) -> Column:
-        value = to_number(_text(self.source))
-        return F.when(value.isin(0.0, 1.0), value)
+    def column(self, joined: Column) -> Column:
+        return joined
+
+
+FLAG_VALUES = "_marcas"
+
+
+def _flag_values(sources: Sequence[str]) -> Column:
+    """One array of all flags, in order, so that their steps are there once.
+
+    Written out for every flag they make a method of over 8,000 bytes, which Java does not compile but interprets in every row.
+    """
+
+    def number(text: Column) -> Column:
+        # Most answers are one digit, which needs no pattern.
+        return F.when(text == "0", 0.0).when(text == "1", 1.0).otherwise(to_number(text))
+
+    texts = F.array(*[quoted(source).cast("string") for source in sources])
+    numbers = F.transform(F.transform(texts, lambda text: F.trim(text)), number)
+    return F.transform(numbers, lambda value: F.when(value.isin(0.0, 1.0), value))
 
 
 Rule = Answer | Code | Number | Flag
@@ -121,6 +138,11 @@ def conform(bronze: DataFrame, year: int, rules: Mapping[str, Rule], processed_a
             bronze = bronze.join(table, _text(rule.source) == F.col(key), "left")
             joined[name] = F.col(value)
 
+    flags = {name: rule.source for name, rule in rules.items() if isinstance(rule, Flag)}
+    if flags:
+        bronze = bronze.withColumn(FLAG_VALUES, _flag_values(list(flags.values())))
+        joined |= {name: F.get(FLAG_VALUES, F.lit(place)) for place, name in enumerate(flags)}
+
     def target(name: str, kind: str) -> Column:
         if name == "ano_pesquisa":
             value = F.lit(year)

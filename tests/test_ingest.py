@@ -318,3 +318,19 @@ def test_many_spellings_are_joined_and_not_searched(spark, tmp_path):
         assert sorted(map(tuple, found), key=str) == sorted(wanted, key=str)
         assert "map(" not in frame._jdf.queryExecution().optimizedPlan().toString()
     assert conformed(few, bands).count() == len(answers)
+
+
+def test_flags_are_read_in_one_expression(spark):
+    """Odd spellings of 0 and 1, and steps that do not multiply with the flags: a method of over 8,000 bytes is never compiled."""
+    texts = [" 1 ", "1.0", "1e0", "10e-1", "0", "-0", ".0", "+1", "01", "1d", "0x1p0", "NaN", "inf", "2", "0.5", "", " ", "x", None]
+    wanted = [1, 1, 1, 1, 0, 0, 0, 1, 1, *[None] * 10]
+    names = [n for n, kind in SILVER_TYPES.items() if n.startswith(("usa_", "ia_")) or n == "eh_gestor"]
+    rows = [(i, *[texts[(i + k) % len(texts)] for k in range(len(names))]) for i in range(len(texts))]
+    bronze = spark.createDataFrame(rows, "id int, " + ", ".join(f"`p.{n}` string" for n in names))
+    rules = {"id_respondente": Number("id"), **{n: Flag(f"p.{n}") for n in names}}
+    silver = conform(bronze, 2023, rules, AT)
+    for row in silver.collect():
+        assert [row[n] for n in names] == [wanted[(row.id_respondente + k) % len(texts)] for k in range(len(names))]
+    few = conform(bronze, 2023, {n: rules[n] for n in names[:2]}, AT)
+    patterns = [f._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") for f in (few, silver.drop("id_respondente"))]
+    assert patterns[0] == patterns[1]
