@@ -58,13 +58,18 @@ def _suspects(rows: DataFrame, counted: DataFrame) -> DataFrame:
     return met.filter(F.expr(f"getbit({_BITS}, CAST({_FIRST} & 63 AS INT)) = 1"))
 
 
-def _marked(frame: DataFrame, keys: Sequence[str], names: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
-    return frame.select("*", *fingerprint([*keys, *names]), *[value.alias(name) for name, value in measures.items()])
+def _marked(frame: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    return frame.select("*", *fingerprint([*keys, *names]))
 
 
-def _counted(marked: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
-    sums = [F.sum(name).alias(name) for name in measures]
-    return marked.groupBy(*keys, _FIRST, _SECOND).agg(F.count("*").alias("copies"), *sums)
+def _counted(marked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return marked.groupBy(*keys, _FIRST, _SECOND).agg(F.count("*").alias("copies"))
+
+
+def _measured(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
+    """Rows and sums per key. Summed by fingerprint they would make a second shuffle of all fingerprints, as the bitmap needs none."""
+    values = frame.select(*keys, *[value.alias(name) for name, value in measures.items()])
+    return values.groupBy(*keys).agg(F.count("*").alias("copies"), *[F.sum(name).alias(name) for name in measures])
 
 
 def duplicate_profile(
@@ -83,11 +88,12 @@ def duplicate_profile(
         )
         rows = grouped.select(*keys, F.col("copies").alias("registros"), (F.col("copies") - 1).alias("duplicados_excedentes"), *measures)
         return rows.groupBy(*keys).agg(*totals)
-    marked = _marked(frame, keys, names, measures)
-    counted = _counted(marked, keys, measures)
+    marked = _marked(frame, keys, names)
+    counted = _counted(marked, keys)
     exact = copies(_suspects(marked, counted).select(*keys, *[quoted(n) for n in names]), keys=keys)
     none = F.lit(0).cast("long")
-    sizes = counted.select(*keys, F.col("copies").alias("registros"), none.alias("duplicados_excedentes"), *measures)
+    sized = _measured(frame, keys, measures) if measures else counted
+    sizes = sized.select(*keys, F.col("copies").alias("registros"), none.alias("duplicados_excedentes"), *measures)
     excess = exact.select(
         *keys, none.alias("registros"), (F.col("copies") - 1).alias("duplicados_excedentes"), *[none.alias(m) for m in measures]
     )
@@ -99,6 +105,6 @@ def repeated_rows(frame: DataFrame, columns: Sequence[str] | None = None) -> Dat
     names = _identity(frame, columns, ())
     rows = frame.select(*[quoted(name) for name in names])
     if _is_wide(frame, names):
-        marked = _marked(rows, (), names, {})
-        rows = _suspects(marked, _counted(marked, (), {})).select(*[quoted(name) for name in names])
+        marked = _marked(rows, (), names)
+        rows = _suspects(marked, _counted(marked, ())).select(*[quoted(name) for name in names])
     return copies(rows).filter(F.col("copies") > 1)
