@@ -113,7 +113,8 @@ def validate_editions(
 ) -> str:
     """Audit the raw editions into a new run of the audit log; the run's id is returned.
 
-    Raises ProfileMismatch after the audit is stored, so the log also has the failed runs.
+    Raises ProfileMismatch after the audit is stored, so the log also has the failed runs. What is `expected` is stored beside the
+    log and read from there by both comparisons: it may be derived from all rows.
     """
     at = datetime.now(timezone.utc)
     run_id = new_run_id(at)
@@ -123,6 +124,8 @@ def validate_editions(
     compared = F.lit(True) if expected is not None else F.col("ano_pesquisa").isin(*declared)
     if expected is None:
         expected = expected_profiles(spark, declared)
+    else:
+        expected = write_files(expected, f"{audit_path}_esperado/{run_id}")
     comparison = compare_profiles(profile.filter(compared), expected)
     append_run(stamp_audit(profile, comparison, run_id, at), audit_path)
     stored = spark.read.parquet(audit_path).filter((F.col("id_execucao") == run_id) & compared)

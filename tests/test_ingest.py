@@ -334,3 +334,17 @@ def test_flags_are_read_in_one_expression(spark):
     few = conform(bronze, 2023, {n: rules[n] for n in names[:2]}, AT)
     patterns = [f._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") for f in (few, silver.drop("id_respondente"))]
     assert patterns[0] == patterns[1]
+
+
+def test_what_is_expected_is_computed_once(spark, editions, monkeypatch, tmp_path):
+    plain, plans = lifecycle.compare_profiles, []
+
+    def compare(found, expected):
+        plans.append(expected._jdf.queryExecution().optimizedPlan().toString())
+        return plain(found, expected)
+
+    monkeypatch.setattr(lifecycle, "compare_profiles", compare)
+    profile = lifecycle.profile_editions(spark, editions[-1:]).select("ano_pesquisa", *audit.METRICS)
+    lifecycle.validate_editions(spark, editions[-1:], str(tmp_path / "log"), profile)
+    assert len(plans) == 2 and not any("Aggregate" in plan for plan in plans)
+    assert [r.status for r in read_runs(spark, str(tmp_path / "log")).collect()] == ["OK"]
