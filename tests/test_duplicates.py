@@ -103,9 +103,10 @@ def test_an_edition_of_403_columns_is_hardly_shuffled(spark, monkeypatch, tmp_pa
 
 
 def test_measures_do_not_shuffle_the_fingerprints_again(spark, tmp_path):
-    spark.range(20_000).select("id", F.expr("id % 3").alias("k"), *[(F.col("id") + i).alias(f"c{i}") for i in range(9)]).write.parquet(str(tmp_path / "r"))
+    rows = spark.range(20_000).select("id", F.expr("id % 3").alias("k"), *[(F.col("id") + i).alias(f"c{i}") for i in range(9)])
+    rows.unionByName(rows.filter("id % 100 = 0")).write.parquet(str(tmp_path / "r"))
     frame = spark.read.parquet(str(tmp_path / "r"))
     measures = {"pares": F.when(F.col("id") % 2 == 0, 1).otherwise(0)}
     found = duplicate_profile(frame, keys=["k"], measures=measures)
-    assert {(r.registros, r.duplicados_excedentes, r.pares) for r in found.collect()} == {(6667, 0, 3334), (6667, 0, 3333), (6666, 0, 3333)}
+    assert {(r.registros, r.duplicados_excedentes, r.pares) for r in found.collect()} == {(6734, 67, 3401), (6734, 67, 3400), (6732, 66, 3399)}
     assert _shuffled(found) < 1.2 * _shuffled(duplicate_profile(frame, keys=["k"]))
